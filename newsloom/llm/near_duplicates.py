@@ -11,7 +11,7 @@ is ``tables * side`` rows a record instead of ``tables * side**2``.
 Two records whose one-bit sketches differ too much are let go at once; a pair that shares at least two table
 keys is verified exactly on the full shingle sets.
 
-Hot keys.  A run longer than ``RUN_CAP`` or a table key with more than ``KEY_CAP`` records is not expanded where
+Hot keys.  A run longer than ``run_cap`` or a table key with more than ``key_cap`` records is not expanded where
 it stands: its records go to a second level, keyed by (hot key, left collection of another tensor), which
 spreads them over many tasks.  Nothing is dropped.
 
@@ -35,9 +35,6 @@ from pyspark.sql import functions as F
 from newsloom.llm import shingles as S
 from newsloom.session import stash
 
-RUN_CAP = 100_000
-KEY_CAP = 256
-
 
 @dataclass(frozen=True)
 class Plan:
@@ -49,6 +46,9 @@ class Plan:
     agree: int = 40
     #: Table keys a pair must share.
     hits: int = 2
+    #: Records of one left key, and of one table key, from which on they go to the second level.
+    run_cap: int = 100_000
+    key_cap: int = 256
 
     @property
     def lefts(self) -> int:
@@ -170,12 +170,12 @@ def _collisions(plan: Plan, last: bool):
             left = p0 >> np.uint64(32)
             end = len(p0) if whole else int(np.searchsorted(left, left[-1]))
             out = []
-            if not whole and end == 0 and len(p0) > RUN_CAP and not last:
+            if not whole and end == 0 and len(p0) > plan.run_cap and not last:
                 rid = cols[-1].view(np.int64)
                 out.append(emit(rid, None, np.full(len(rid), left[-1], np.uint64) << np.uint64(32)))
                 return [c[:0] for c in cols], out
             done = [c[:end] for c in cols]
-            for a, b, hot in pairs(done[:n_packed], done[n_packed], done[n_packed + 1].view(np.int64), np.inf if last else KEY_CAP):
+            for a, b, hot in pairs(done[:n_packed], done[n_packed], done[n_packed + 1].view(np.int64), np.inf if last else plan.key_cap):
                 if len(a):
                     out.append(emit(a, b, hot))
             return [c[end:] for c in cols], out

@@ -42,12 +42,11 @@ def test_pairs_equal_brute_force(spark):
     assert got <= brute(rows) and not away(rows, got)
 
 
-def test_hot_keys_go_to_the_second_level(spark, monkeypatch):
-    monkeypatch.setattr(ND, "KEY_CAP", 3)
-    monkeypatch.setattr(ND, "RUN_CAP", 40)
+def test_hot_keys_go_to_the_second_level(spark):
+    plan = ND.Plan(width=3, threshold=0.5, key_cap=3, run_cap=40)
     rows = made(120, 5) + [(f"z{k}", None, " ".join([f"v{i}" for i in range(60)] + [f"own{k}"])) for k in range(90)]
     df = spark.createDataFrame(rows, "article_id string, title string, body string")
-    got = {tuple(r) for r in ND.similar_pairs(df, "article_id", ["title", "body"], PLAN).collect()}
+    got = {tuple(r) for r in ND.similar_pairs(df, "article_id", ["title", "body"], plan).collect()}
     assert got <= brute(rows)
     assert len(away(rows, got)) <= 0.002 * len(got)
 
