@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from newsloom.llm import arrivals, bpe, packing, site_lines
 from newsloom.llm import near_duplicates as ND
 from newsloom.session import table
 
@@ -15,5 +17,62 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return ND.similar_pairs(table(spark, d, "news_articles"), "article_id", STORY, STORY_PLAN)
 
 
-QUERIES = {"p3_found": p3_found}
-ORACLE: dict[str, str] = {}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    articles = table(spark, d, "news_articles")
+    lines = site_lines.find_repeated(articles, "article_id", "source_id", "body_text")
+    return site_lines.occurrences(articles, "article_id", "source_id", "body_text", lines)
+
+
+def p6_cleaned(spark: SparkSession, d: str) -> DataFrame:
+    articles = table(spark, d, "news_articles")
+    lines = site_lines.find_repeated(articles, "article_id", "source_id", "body_text")
+    return site_lines.rebuild(articles, "article_id", "source_id", "body_text", lines)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    nb = arrivals.Neighbourhood(width=3, threshold=0.5)
+    return arrivals.found_in(table(spark, d, "news_articles"), "article_id", "source_id", "collected_at", "content_hash", "canonical_url", STORY, nb)
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, int]]:
+    # a fixed table of three rows
+    capacities = {r["capacity_name"]: r["capacity_tokens"] for r in table(spark, d, "pack_capacity").collect()}
+    return packing.pack(bpe.token_counts(table(spark, d, "documents"), "doc_id", "text"), "doc_id", "tokens", capacities), capacities
+
+
+def p9_packed(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d)[0]
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(*_packed(spark, d))
+
+
+QUERIES = {
+    "p3_found": p3_found,
+    "p6_found": p6_found,
+    "p6_cleaned": p6_cleaned,
+    "p7_found": p7_found,
+    "p8_ids": p8_ids,
+    "p9_packed": p9_packed,
+    "p9_fill": p9_fill,
+}
+
+_LINES = r"""
+WITH docs AS (SELECT DISTINCT article_id, coalesce(source_id, '') src, body_text FROM news_articles WHERE body_text IS NOT NULL),
+lines AS (SELECT article_id, src, body_text, s.s line, s.i line_no FROM docs, LATERAL (SELECT unnest(string_split(body_text, E'\n')) s, generate_subscripts(string_split(body_text, E'\n'), 1) i) s),
+keyed AS (SELECT *, regexp_replace(lower(line), '[\s\pZ\p{Nd}]+', '', 'g') k FROM lines),
+n AS (SELECT src, k, count(DISTINCT article_id) n FROM keyed WHERE k <> '' GROUP BY ALL),
+t AS (SELECT src, count(*) docs FROM docs GROUP BY ALL),
+bad AS (SELECT src, k FROM n JOIN t USING (src) WHERE n >= 6 AND n * 20 >= docs)
+"""
+ORACLE: dict[str, str] = {
+    "p6_found": _LINES + "SELECT article_id, line_no::INTEGER line_no FROM keyed SEMI JOIN bad USING (src, k)",
+    "p6_cleaned": _LINES
+    + """SELECT article_id, coalesce(string_agg(line, E'\\n' ORDER BY line_no) FILTER (NOT hit), '') body_text
+    FROM (SELECT keyed.*, bad.k IS NOT NULL hit FROM keyed LEFT JOIN bad USING (src, k)) GROUP BY article_id HAVING bool_or(hit)""",
+}
