@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import arrivals, bpe, packing, site_lines
+from newsloom.llm import arrivals, bpe, canonical_names, lookalikes, packing, site_lines
 from newsloom.llm import near_duplicates as ND
 from newsloom.session import table
 
@@ -13,6 +13,23 @@ STORY = ["title_norm", "summary", "body_text"]
 STORY_PLAN = ND.Plan(width=3, threshold=0.5)
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalikes.equal_looking_pairs(table(spark, d, "news_articles"), "article_id", "title", "title_norm")
+
+
+def p1_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every headline in its one form."""
+    return lookalikes.look_keys(table(spark, d, "news_articles"), "article_id", ["title", "title_norm"]).select("article_id", "title_form", "title_norm_form").distinct()
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    reference = table(spark, d, "entity_aliases_v1")
+    links = table(spark, d, "event_entity_links").filter(F.col("entity_type").isin("company", "institution")).select("id", "entity_name")
+    spelt = reference.select(F.col("alias").alias("entity_name")).unionByName(reference.select(F.col("canonical_name").alias("entity_name"))).distinct()
+    typed = links.join(spelt, "entity_name", "left_anti")
+    return canonical_names.map_names(typed, "id", "entity_name", reference, "canonical_id", ["alias", "canonical_name"])
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return ND.similar_pairs(table(spark, d, "news_articles"), "article_id", STORY, STORY_PLAN)
 
@@ -53,6 +70,9 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
+    "p1_forms": p1_forms,
+    "p2_found": p2_found,
     "p3_found": p3_found,
     "p6_found": p6_found,
     "p6_cleaned": p6_cleaned,
