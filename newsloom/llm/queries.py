@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import arrivals, bpe, canonical_names, lookalikes, packing, site_lines
+from newsloom.llm import abuse, arrivals, bpe, canonical_names, lookalikes, packing, site_lines
 from newsloom.llm import near_duplicates as ND
 from newsloom.session import table
 
@@ -69,6 +69,19 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(*_packed(spark, d))
 
 
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its score and its nearest flagged example."""
+    return abuse.score(table(spark, d, "documents"), table(spark, d, "review_labels"), "doc_id", "text", "label", keep=["source"])
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_scores(spark, d).filter("is_case").select("doc_id")
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rates(p10_scores(spark, d), "source")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_forms": p1_forms,
@@ -80,6 +93,9 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_packed": p9_packed,
     "p9_fill": p9_fill,
+    "p10_found": p10_found,
+    "p10_scores": p10_scores,
+    "p10_rates": p10_rates,
 }
 
 _LINES = r"""
