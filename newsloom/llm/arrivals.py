@@ -22,7 +22,7 @@ Defined results: null hash, null or blank page, text without shingles and null s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -120,7 +120,7 @@ def not_first(rows: DataFrame, key: str, source: str, at: str, by: str) -> DataF
     return keyed.select(key).join(firsts, key, "left_anti")
 
 
-def _text_found(feats: DataFrame, sets: DataFrame, key: str, source: str, at: str, nb: Neighbourhood) -> DataFrame:
+def _text_found(feats: DataFrame, sets: Callable[[DataFrame], DataFrame], key: str, source: str, at: str, nb: Neighbourhood) -> DataFrame:
     usable = feats.filter(F.col("cid").isNotNull() & F.col(source).isNotNull())
     firsts = usable.groupBy(source, "cid").agg(F.min(F.struct(at, key)).alias("_first")).select(F.col(f"_first.{key}").alias(key))
     reps = usable.join(firsts, key, "left_semi")
@@ -136,7 +136,7 @@ def found_in(df: DataFrame, key: str, source: str, at: str, hash_col: str, url_c
     feats = stash(features(df, key, source, at, texts, nb), "arrivals").withColumn("fresh", F.lit(True))
     out = not_first(exact, key, source, at, "_h").unionByName(not_first(exact, key, source, at, "_u"))
     out = out.unionByName(not_first(feats, key, source, at, "cid"))
-    sets = ND.sets_of(df, key, texts, ND.Plan(width=nb.width))
+    sets = lambda ids: ND.sets_of(df, key, texts, ND.Plan(width=nb.width), ids)
     return out.unionByName(_text_found(feats, sets, key, source, at, nb)).distinct()
 
 
@@ -180,7 +180,7 @@ class ArrivalIndex:
             feats = feats.unionByName(old["feats"].withColumn("fresh", F.lit(False)))
         out = not_first(merged["exact"], key, source, at, "_h").unionByName(not_first(merged["exact"], key, source, at, "_u"))
         out = out.unionByName(not_first(merged["feats"], key, source, at, "cid"))
-        out = out.unionByName(_text_found(feats, merged["sets"], key, source, at, nb)).distinct()
+        out = out.unionByName(_text_found(feats, lambda ids: ND.perhaps_in(merged["sets"], ids), key, source, at, nb)).distinct()
         self.runs.append(run)
         return out.join(read["exact"].select(key), key, "left_semi")
 

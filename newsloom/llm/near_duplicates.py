@@ -24,7 +24,7 @@ to nothing; repeated rows of one id count once; columns beside the named ones ar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,10 +81,26 @@ def signatures(df: DataFrame, key: str, texts: list[str], plan: Plan, keep: list
     return rows.mapInArrow(run, schema)
 
 
-def sets_of(df: DataFrame, key: str, texts: list[str], plan: Plan) -> DataFrame:
-    """rid, sh: the shingle set of each record."""
-    rows = df.select(F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)])
+FILTER_BITS = 25  # a filter of 2**25 bits is 4 MB, whatever the number of records
+
+
+def perhaps_in(rows: DataFrame, wanted: DataFrame, rid: str = "rid") -> DataFrame:
+    """The rows whose id may be among the wanted ones: a one-hash Bloom filter of fixed size (``FILTER_BITS``) in parts
+    of 4 KB, broadcast because its size has a bound.  It lets some others through and never drops a wanted row."""
+    bit = F.pmod(F.xxhash64(rid), F.lit(1 << FILTER_BITS))
+    place = F.struct(F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(F.lit(32767)).alias("pos"))
+    parts = wanted.select(place.alias("p")).groupBy("p.part").agg(F.bitmap_construct_agg("p.pos").alias("_bits"))
+    marked = rows.withColumn("_p", place).withColumn("part", F.col("_p.part")).join(F.broadcast(parts), "part")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_p.pos div 8 + 1 as int), 1)")), 16, 10).cast("int")
+    return marked.filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(_p.pos % 8 as int))")) != 0).drop("_p", "part", "_bits")
+
+
+def sets_of(df: DataFrame, key: str, texts: list[str], plan: Plan, wanted: DataFrame | None = None) -> DataFrame:
+    """rid, sh: the shingle set of each record, or of those that may be wanted."""
     cols = [f"_t{i}" for i in range(len(texts))]
+    rows = df.select(F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)])
+    if wanted is not None:
+        rows = perhaps_in(rows, wanted).select("rid", *cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -214,10 +230,12 @@ def candidates(classes: DataFrame, plan: Plan) -> DataFrame:
     return pairs.filter("a <> b").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= plan.hits).select("a", "b")
 
 
-def verified(cands: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """The candidates whose Jaccard similarity over the full shingle sets reaches the threshold: a, b, similarity."""
-    sides = cands.select("a", "b", F.explode(F.array("a", "b")).alias("rid"))
-    both = sides.join(sets, "rid").groupBy("a", "b").agg(F.min_by("sh", "rid").alias("x"), F.max_by("sh", "rid").alias("y"))
+def verified(cands: DataFrame, sets: Callable[[DataFrame], DataFrame], plan: Plan) -> DataFrame:
+    """The candidates whose Jaccard similarity over the full shingle sets reaches the threshold: a, b, similarity.
+
+    ``sets`` gives the sets (rid, sh) of the wanted ids; others may be among them."""
+    sides = stash(cands.select("a", "b"), "candidates").select("a", "b", F.explode(F.array("a", "b")).alias("rid"))
+    both = sides.join(sets(sides.select("rid")), "rid").groupBy("a", "b").agg(F.min_by("sh", "rid").alias("x"), F.max_by("sh", "rid").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     return (
         both.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("similarity"))
@@ -231,7 +249,7 @@ def near_duplicates(df: DataFrame, key: str, texts: list[str], plan: Plan) -> tu
     feats = stash(signatures(df, key, texts, plan).filter("cid is not null"), "signatures")
     sig = ["sk", *(f"s{k}" for k in range(plan.lefts))]
     classes = feats.groupBy("cid").agg(F.min("rid").alias("rid"), *[F.first(c).alias(c) for c in sig])
-    found = verified(candidates(classes, plan), sets_of(df, key, texts, plan), plan)
+    found = verified(candidates(classes, plan), lambda ids: sets_of(df, key, texts, plan, ids), plan)
     reps = feats.groupBy("cid").agg(F.min("rid").alias("rid"))
     members = feats.select(key, "cid").distinct().join(reps, "cid").select(key, "rid")
     return found, members
