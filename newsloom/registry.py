@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.plans import data_quality
+from newsloom.plans import cleaning, data_quality, relational
 
-MODULES = [data_quality]
+MODULES = [data_quality, cleaning, relational]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
