@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.plans import cleaning, data_quality, relational
+from newsloom.plans import cleaning, data_quality, events, relational
 
-MODULES = [data_quality, cleaning, relational]
+MODULES = [data_quality, cleaning, relational, events]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracles() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["p5_by_period"](spark, sf_dir)
+    return queries()["e1_event_build"](spark, sf_dir)
