@@ -58,10 +58,10 @@ class VersionedTable:
         self._fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def version(self) -> str | None:
-        pointer = self._path(f"{self.path}/_CURRENT")
+        pointer = self._path(f"{self.path}/CURRENT")
         if not self._fs.exists(pointer):
             return None
-        return self.spark.read.text(f"{self.path}/_CURRENT").first()[0]
+        return self.spark.read.text(f"{self.path}/CURRENT").first()[0]
 
     def read(self) -> DataFrame | None:
         v = self.version()
@@ -70,13 +70,13 @@ class VersionedTable:
     def replace(self, df: DataFrame) -> str:
         v = f"v-{uuid.uuid4().hex[:12]}"
         df.write.parquet(f"{self.path}/{v}")
-        stream = self._fs.create(self._path(f"{self.path}/_NEXT"), True)
+        stream = self._fs.create(self._path(f"{self.path}/NEXT"), True)
         stream.write(v.encode())
         stream.close()
-        old = self._path(f"{self.path}/_CURRENT")
+        old = self._path(f"{self.path}/CURRENT")
         if self._fs.exists(old):
             self._fs.delete(old, False)
-        self._fs.rename(self._path(f"{self.path}/_NEXT"), old)
+        self._fs.rename(self._path(f"{self.path}/NEXT"), old)
         return v
 
     def upsert(self, new: DataFrame, keys: list[str], keep_old: list[str] | None = None) -> None:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.plans import cleaning, data_quality, events, relational
+from newsloom.plans import cleaning, data_quality, events, feeds, relational, streams
 
-MODULES = [data_quality, cleaning, relational, events]
+MODULES = [data_quality, cleaning, relational, events, feeds, streams]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
