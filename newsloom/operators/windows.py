@@ -34,4 +34,4 @@ def windowed(df: DataFrame, at: str, cadence: str, start: str, end: str) -> Data
             "month": F.concat(F.lit("month:"), F.date_format(first, "yyyy-MM")),
             "year": F.concat(F.lit("year:"), F.date_format(first, "yyyy")),
         }[cadence]
-    return rows.select("*", label.alias("window_label"), F.greatest(first, lo).cast("string").alias("window_start"), F.least(after, hi).cast("string").alias("window_end"))
+    return rows.select(*df.columns, label.alias("window_label"), F.greatest(first, lo).cast("string").alias("window_start"), F.least(after, hi).cast("string").alias("window_end"))
