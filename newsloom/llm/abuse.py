@@ -13,7 +13,7 @@ Method: exact TF-IDF cosine to labelled passages, found with block-max inverted
   each.  A passage whose terms' flagged maxima cannot add up to ``least`` has no flagged neighbour and is let go
   (exactly); for any other, terms are taken by falling maxima until the rest cannot reach ``least`` any more, and
   the passages met are scored in full.
-* The ``k`` nearest passages of other documents vote with the square of their cosine.  Their share of flagged
+* The ``k`` nearest passages of other documents, with those as near as the last, vote with the square of their cosine.  Their share of flagged
   votes, shrunk towards the share of flagged documents by a weak prior, is the passage's score; a document's score
   is that of its worst passage, which is given as evidence.
 
@@ -243,7 +243,7 @@ class Index:
         return bool(np.add.reduceat(part, np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))).max() >= v.least)
 
     def neighbours(self, terms: np.ndarray, weights: np.ndarray, doc: int, v: Votes, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(cosines, passages) of the k nearest passages of other documents, none below ``least``."""
+        """(cosines, passages) of the k nearest passages of other documents and those as near as the k-th, none below ``least``."""
         order = np.argsort(-weights * self.max_all[terms])
         rest = np.cumsum((weights * self.max_all[terms])[order][::-1])[::-1]
         lead = order[: int((rest >= v.least).sum())]
@@ -264,7 +264,9 @@ class Index:
         cos = np.add.reduceat(q[self.flat[spot]] * self.weight[spot], begin)
         q[terms] = 0
         near = np.flatnonzero(cos >= v.least)
-        best = near[np.lexsort((met[near], -cos[near]))[:k]]
+        best = near[np.lexsort((met[near], -cos[near]))]
+        if len(best) > k:  # whatever is as near as the k-th votes too, so that the order of the index does not decide
+            best = best[cos[best] >= cos[best[k - 1]] - 1e-6]
         return cos[best], met[best]
 
     def score_batch(self, docs: list[int], texts: list[str | None], reader: Reader, v: Votes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
