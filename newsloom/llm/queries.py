@@ -106,7 +106,27 @@ n AS (SELECT src, k, count(DISTINCT article_id) n FROM keyed WHERE k <> '' GROUP
 t AS (SELECT src, count(*) docs FROM docs GROUP BY ALL),
 bad AS (SELECT src, k FROM n JOIN t USING (src) WHERE n >= 6 AND n * 20 >= docs)
 """
+_HAN = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}"
+# every ideograph a word of its own, then the words, then the distinct runs of three
+_RUNS = rf"""
+WITH a AS (SELECT DISTINCT article_id, source_id, collected_at, content_hash, canonical_url,
+    regexp_extract_all(regexp_replace(lower(coalesce(title_norm,'')||E'\n'||coalesce(summary,'')||E'\n'||coalesce(body_text,'')), '([{_HAN}])', ' \1 ', 'g'), '[\pL\pN]+') w FROM news_articles),
+r AS (SELECT DISTINCT article_id, source_id, collected_at, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i]||' '||w[i+1]||' '||w[i+2])) g FROM a),
+n AS (SELECT article_id, count(*) n FROM r GROUP BY 1)
+"""
+_PAGE = r"""CASE WHEN trim(canonical_url) <> '' THEN concat_ws(E'\n',
+  regexp_replace(regexp_replace(lower(regexp_extract(regexp_replace(trim(canonical_url), '(?i)^https?://', ''), '^([^/?#]*)', 1)), ':[0-9]*$', ''), '^www\.', ''),
+  regexp_replace(regexp_extract(regexp_replace(trim(canonical_url), '(?i)^https?://', ''), '^[^/?#]*([^?#]*)', 1), '/$', ''),
+  regexp_extract(regexp_extract(canonical_url, '^[^?#]*\?([^#]*)', 1), '(?:^|&)id=([^&]*)', 1), regexp_extract(regexp_extract(canonical_url, '^[^?#]*\?([^#]*)', 1), '(?:^|&)page=([^&]*)', 1)) END"""
 ORACLE: dict[str, str] = {
+    "p3_found": _RUNS
+    + """, c AS (SELECT x.article_id p, y.article_id q, count(*) m FROM r x JOIN r y ON x.g = y.g AND x.article_id < y.article_id GROUP BY ALL)
+      SELECT p article_id_a, q article_id_b FROM c JOIN n i ON i.article_id = p JOIN n j ON j.article_id = q WHERE m >= 0.5 * (i.n + j.n - m)""",
+    "p7_found": _RUNS
+    + f""", c AS (SELECT x.article_id p, y.article_id q, x.collected_at pt, y.collected_at qt, count(*) m FROM r x JOIN r y ON x.source_id = y.source_id AND x.g = y.g AND x.article_id < y.article_id GROUP BY ALL),
+      k AS (SELECT article_id, content_hash h, source_id s, {_PAGE} u, row_number() OVER (PARTITION BY source_id, content_hash ORDER BY collected_at, article_id) hn, row_number() OVER (PARTITION BY source_id, {_PAGE} ORDER BY collected_at, article_id) un FROM a WHERE source_id IS NOT NULL)
+      SELECT CASE WHEN (pt, p) < (qt, q) THEN q ELSE p END article_id FROM c JOIN n i ON i.article_id = p JOIN n j ON j.article_id = q WHERE m >= 0.5 * (i.n + j.n - m)
+      UNION SELECT article_id FROM k WHERE h IS NOT NULL AND hn > 1 UNION SELECT article_id FROM k WHERE u IS NOT NULL AND un > 1""",
     "p6_found": _LINES + "SELECT article_id, line_no::INTEGER line_no FROM keyed SEMI JOIN bad USING (src, k)",
     "p6_cleaned": _LINES
     + """SELECT article_id, coalesce(string_agg(line, E'\\n' ORDER BY line_no) FILTER (NOT hit), '') body_text
