@@ -42,21 +42,21 @@ THEMES = [
 STOP_WORDS = "the a an and or to for of in on with by from plan plans planned planning accelerate accelerates accelerated sign signs signed company group announces announced will its store".split()
 
 
-def action_of(combo: Column) -> tuple[Column, Column]:
-    """(event type, action) of a lower-case text, null where no row fits."""
-    kind = action = None
+def action_of(combo: Column) -> Column:
+    """struct(kind, action) of a lower-case text, null where no row fits."""
+    out = None
     for k, a, terms in ACTIONS:
         tried = F.replace(combo, F.lit(MASKED[a]), F.lit(" ")) if a in MASKED else combo
-        hit = tried.rlike(f"(?:{terms})")
-        kind = F.when(hit, k) if kind is None else kind.when(hit, k)
-        action = F.when(hit, a) if action is None else action.when(hit, a)
-    return kind, action
+        row = F.struct(F.lit(k).alias("kind"), F.lit(a).alias("action"))
+        out = F.when(tried.rlike(f"(?:{terms})"), row) if out is None else out.when(tried.rlike(f"(?:{terms})"), row)
+    return out
 
 
 def label_of(text: Column, rows: list[tuple[str, str]]) -> Column:
+    """The first label one of whose terms is in the lower-case text."""
     out = None
     for label, terms in rows:
-        hit = F.lower(text).rlike(f"(?:{terms})")
+        hit = text.rlike(f"(?:{terms})")
         out = F.when(hit, label) if out is None else out.when(hit, label)
     return out
 
@@ -81,11 +81,12 @@ def merge_key(entity: Column, kind: Column, action: Column, industry: Column, th
 def classify(articles: DataFrame) -> DataFrame:
     """Articles (title, summary, source_id, lane, coverage_scope, collected_at, entity) with kind, action, labels and merge key."""
     combo = F.lower(F.concat_ws(" ", X.squeeze(F.col("title")), F.coalesce(X.squeeze(F.col("summary")), F.lit("")), F.col("source_id")))
-    kind, action = action_of(F.col("_combo"))
     signal, company = F.col("lane") == "signal", F.col("coverage_scope") == "company"
-    out = articles.withColumn("_combo", combo).withColumn("kind", F.coalesce(kind, F.when(signal, "social_signal").when(company, "company_action").otherwise("macro_data")))
-    out = out.withColumn("action", F.coalesce(action, F.when(signal, "signal").otherwise("general_update"))).drop("_combo")
-    out = out.withColumn("industry", label_of(X.focus(F.col("title")), INDUSTRIES)).withColumn("theme", label_of(X.focus(F.col("title")), THEMES))
+    # each text is made once, as a column of its own, before the patterns are tried on it
+    out = articles.withColumn("_combo", combo).withColumn("_focus", F.lower(X.focus(F.col("title"))))
+    out = out.withColumn("_ka", action_of(F.col("_combo"))).withColumn("industry", label_of(F.col("_focus"), INDUSTRIES)).withColumn("theme", label_of(F.col("_focus"), THEMES))
+    out = out.withColumn("kind", F.coalesce("_ka.kind", F.when(signal, "social_signal").when(company, "company_action").otherwise("macro_data")))
+    out = out.withColumn("action", F.coalesce("_ka.action", F.when(signal, "signal").otherwise("general_update"))).drop("_combo", "_focus", "_ka")
     return out.withColumn("merge_key", merge_key(F.col("entity"), F.col("kind"), F.col("action"), F.col("industry"), F.col("theme"), F.col("title"), F.col("collected_at")))
 
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.session import spread
+
 try:
     import ahocorasick
 except ImportError:  # the slow way below is used instead
@@ -61,7 +63,7 @@ def first_term(df: DataFrame, key: str, text: str, terms: DataFrame, value: str,
     if len(listed) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms")
     shared = df.sparkSession.sparkContext.broadcast(listed)
-    rows = df.select(key, text)
+    rows = spread(df.select(key, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Terms(shared.value)

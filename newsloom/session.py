@@ -60,6 +60,19 @@ def local_session(app: str = "newsloom", cores: str | None = None) -> SparkSessi
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when it is read from fewer files than there are cores and is small (under 1 GB).
+
+    A small file is one task however much work its rows need; larger inputs have tasks enough and stay as they are.
+    Looks at metadata only."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= 1 << 30:
+        return df
+    files = df.inputFiles()
+    return df.repartition(cores) if files and len(files) < cores else df
+
+
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``rows`` rows; looks at no more than rows + 1 of them."""
     return df.limit(rows + 1).count() <= rows
