@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.lookalikes import LETTERS, RADICALS, is_invisible
+from newsloom.session import spread
 
 #: Labelled documents an index is built of.
 MAX_LABELLED = 2500
@@ -315,7 +316,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, c
     keep = keep or []
     made = Index(labelled(docs, labels, key, text, label, clean), v)
     shared = docs.sparkSession.sparkContext.broadcast(made)
-    rows = docs.select(key, *keep, F.col(text).alias("_text"))
+    rows = spread(docs.select(key, *keep, F.col(text).alias("_text")))
     readers: dict[int, Reader] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

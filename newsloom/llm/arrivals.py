@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from newsloom.llm import near_duplicates as ND
 from newsloom.llm import shingles as S
-from newsloom.session import stash
+from newsloom.session import spread, stash
 
 KEYS = 24
 
@@ -59,7 +59,7 @@ def page_key(url: Column) -> Column:
 
 def features(df: DataFrame, key: str, source: str, at: str, texts: list[str], nb: Neighbourhood) -> DataFrame:
     """key, source, at, rid, cid, sk0, sk1, k0..: 64-bit sort keys (24 bits of the first, 20 of the second and third minhash)."""
-    rows = df.select(key, source, at, F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)])
+    rows = spread(df.select(key, source, at, F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)]))
     cols, head = [f"_t{i}" for i in range(len(texts))], [key, source, at, "rid"]
     width = nb.width
 

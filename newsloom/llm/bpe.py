@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.session import spread
+
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 #: Fixed value: the pre-token pattern that belongs to this vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -237,7 +239,7 @@ def vocabulary_path(name: str = "byte_bpe_50k", folder: str | None = None) -> st
 def encode(df: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
     """key, ids (list of int) of every row."""
     shared = df.sparkSession.sparkContext.broadcast(encoder(path or vocabulary_path()).tables())
-    rows = df.select(F.col(key), F.col(text).alias("_text"))
+    rows = spread(df.select(F.col(key), F.col(text).alias("_text")))
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +260,7 @@ def encode(df: DataFrame, key: str, text: str, path: str | None = None) -> DataF
 def token_counts(df: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
     """key, tokens: number of tokens of every row."""
     shared = df.sparkSession.sparkContext.broadcast(encoder(path or vocabulary_path()).tables())
-    rows = df.select(F.col(key), F.col(text).alias("_text"))
+    rows = spread(df.select(F.col(key), F.col(text).alias("_text")))
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.session import spread, stash
+
 # Letters that look like a Latin letter, by that letter.
 LETTERS = {
     "A": "АΑᎪ", "B": "ВΒᏴ", "C": "СϹᏟ", "D": "Ꭰ", "E": "ЕΕᎬ", "G": "ԌᏀ", "H": "НΗᎻ", "I": "ІΙ", "J": "ЈᎫ", "K": "КΚᏦ", "L": "Ꮮ", "M": "МΜᎷ",
@@ -162,7 +164,7 @@ def count_points(df: DataFrame, columns: list[str]) -> dict[str, int]:
 def look_keys(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """key, the columns, and for each column c its common form ``c_form`` and its comparison key ``c_key``."""
     shared = df.sparkSession.sparkContext.broadcast(rewriting(count_points(df, columns)))
-    rows = df.select(key, *columns)
+    rows = spread(df.select(key, *columns))
     made: dict[int, Rewriter] = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +187,6 @@ def equal_looking_pairs(df: DataFrame, key: str, title: str, norm: str) -> DataF
     Variants (title, norm) of one look are paired first and only then expanded to their records, and only looks
     with more than one variant are looked at: a headline that many records share letter by letter costs nothing.
     """
-    from newsloom.session import stash
-
     rows = look_keys(df, key, [title, norm]).select(key, F.col(title).alias("t"), F.col(norm).alias("n"), F.coalesce(f"{title}_key", f"{norm}_key").alias("look"))
     rows = rows.filter("look <> ''").withColumn("v", F.xxhash64(F.coalesce("t", F.lit("\u0001")), F.coalesce("n", F.lit("\u0001"))))
     many = rows.groupBy("look").agg(F.min("v").alias("x"), F.max("v").alias("y")).filter("x <> y").select("look")

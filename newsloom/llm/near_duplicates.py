@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm import shingles as S
-from newsloom.session import stash
+from newsloom.session import spread, stash
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ class Plan:
 def signatures(df: DataFrame, key: str, texts: list[str], plan: Plan, keep: list[str] | None = None) -> DataFrame:
     """key, kept columns, rid (hash of the key), cid (id of the shingle set, null without shingles), sk (sketch), s0.. (left and right key)."""
     keep = keep or []
-    rows = df.select(key, *keep, F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)])
+    rows = spread(df.select(key, *keep, F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)]))
     cols = [f"_t{i}" for i in range(len(texts))]
     head = [key, *keep, "rid"]
     out_fields = [rows.schema[c] for c in head]
@@ -98,7 +98,7 @@ def perhaps_in(rows: DataFrame, wanted: DataFrame, rid: str = "rid") -> DataFram
 def sets_of(df: DataFrame, key: str, texts: list[str], plan: Plan, wanted: DataFrame | None = None) -> DataFrame:
     """rid, sh: the shingle set of each record, or of those that may be wanted."""
     cols = [f"_t{i}" for i in range(len(texts))]
-    rows = df.select(F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)])
+    rows = spread(df.select(F.xxhash64(key).alias("rid"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)]))
     if wanted is not None:
         rows = perhaps_in(rows, wanted).select("rid", *cols)
 
