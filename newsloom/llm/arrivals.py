@@ -6,13 +6,15 @@ ranges, a batch is merged into the ranges it touches and only windows around its
 * Exact keys (content hash, page): equal keys form one run entry, which compaction reduces to its first record;
   a record is found when it is not that first one.  The first record comes from a map-side combined minimum and
   the rest by an anti join on the record's own id, so a key that holds a third of all rows is never gathered.
-* Text: ``KEYS`` sort keys, each of four minhashes in turn.  The range of a record is (source, key number, first
-  two minhashes); within a range records are ordered by the next ones and each is compared with its ``window``
+* Text: ``KEYS`` sort keys, each of three minhashes in turn.  The range of a record is (source, key number, first
+  two minhashes); within a range records are ordered by the third and each is compared with its ``window``
   neighbours on either side.  Neighbours whose 128-bit sketches agree enough are verified on the full shingle
   sets.  Only the first record of each (source, shingle set) takes part: later copies are found as such.
+* Crowded ranges (more than ``window`` + 1 records): every new record that nothing has found so far is compared with
+  all earlier records of its crowded ranges.  So the neighbours only save work, and no order decides the result.
 
-A pair of similarity 0.56 falls into one range and window for at least one of the 24 keys with probability
-0.992 or more, of 0.65 with 0.9999.
+A pair of similarity 0.56 falls into one range for at least one of the 24 keys with probability 0.9998, whatever
+the size of the range, and its sketches agree enough with 0.9996.
 
 ``ArrivalIndex`` keeps the runs between batches; ``found_in`` checks any amount of history as one batch.
 
@@ -80,16 +82,17 @@ def features(df: DataFrame, key: str, source: str, at: str, texts: list[str], nb
 
 
 def _windows(nb: Neighbourhood):
-    """Over rows sorted by (range, order): neighbours within the window, one of them new, whose sketches agree."""
+    """Over rows sorted by (range, order): neighbours (a, b) within the window, one of them new, whose sketches agree;
+    and (a, rng) for each record a of a crowded range."""
     differ, window = 128 - nb.agree, nb.window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail: list[np.ndarray] | None = None
         for batch in batches:
-            new = [np.asarray(batch.column(i)) for i in range(5)]
+            new = [np.asarray(batch.column(i)) for i in range(5)] + [np.zeros(batch.num_rows, bool)]
             cols = [np.concatenate(c) for c in zip(tail, new)] if tail else new
             was = len(tail[0]) if tail else 0
-            rng, sk0, sk1, rid, fresh = cols
+            rng, sk0, sk1, rid, fresh, said = cols
             for step in range(1, window + 1):
                 lo = max(was - step, 0)
                 a, b = np.arange(lo, len(rng) - step), np.arange(lo + step, len(rng))
@@ -98,19 +101,67 @@ def _windows(nb: Neighbourhood):
                 near = np.bitwise_count(sk0[a].view(np.uint64) ^ sk0[b].view(np.uint64)).astype(np.int16) + np.bitwise_count(sk1[a].view(np.uint64) ^ sk1[b].view(np.uint64)) <= differ
                 x, y = rid[a[near]], rid[b[near]]
                 if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-            tail = [c[-window:] for c in cols]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.nulls(len(x), pa.int64())], names=["a", "b", "rng"])
+            far = np.flatnonzero(rng[window + 1 :] == rng[: -window - 1])
+            depth = np.zeros(len(rng) + 1, np.int64)
+            depth[far] += 1
+            depth[far + window + 2] -= 1
+            crowded = (np.cumsum(depth)[:-1] > 0) & ~said
+            if crowded.any():
+                yield pa.RecordBatch.from_arrays([pa.array(rid[crowded]), pa.nulls(int(crowded.sum()), pa.int64()), pa.array(rng[crowded])], names=["a", "b", "rng"])
+            cols[5] = said | crowded
+            tail = [c[-window - 1 :] for c in cols]
 
     return run
 
 
-def neighbour_pairs(reps: DataFrame, source: str, nb: Neighbourhood) -> DataFrame:
-    """Distinct pairs (a, b) of neighbouring records of one source, at least one of them new."""
+def neighbours(reps: DataFrame, source: str, nb: Neighbourhood) -> DataFrame:
+    """(a, b): neighbouring records of one source, at least one of them new; (a, rng): records of crowded ranges."""
     low = F.lit((1 << 20) - 1)
     keyed = F.array(*[F.struct(F.xxhash64(F.col(source), F.lit(k), F.shiftright(f"k{k}", 20)).alias("rng"), F.col(f"k{k}").bitwiseAND(low).cast("int").alias("ord")) for k in range(KEYS)])
     rows = reps.select("sk0", "sk1", "rid", F.col("fresh").cast("int").alias("fresh"), F.explode(keyed).alias("k")).select("k.rng", "k.ord", "sk0", "sk1", "rid", "fresh")
     ordered = rows.repartition("rng").sortWithinPartitions("rng", "ord").select("rng", "sk0", "sk1", "rid", "fresh")
-    return ordered.mapInArrow(_windows(nb), "a bigint, b bigint").filter("a <> b").distinct()
+    return ordered.mapInArrow(_windows(nb), "a bigint, b bigint, rng bigint")
+
+
+def _earlier(nb: Neighbourhood):
+    """Over rows sorted by (range, time): each sought record with all earlier ones of its range whose sketches agree."""
+    differ = 128 - nb.agree
+
+    def emit(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+        x, y = np.concatenate(a), np.concatenate(b)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [np.asarray(batch.column(i)) for i in range(5)]
+            cols = [np.concatenate(c) for c in zip(held, new)] if held else new
+            was = len(held[0]) if held else 0
+            rng, sk0, sk1, rid, sought = cols
+            begin = np.maximum.accumulate(np.where(np.concatenate(([True], rng[1:] != rng[:-1])), np.arange(len(rng)), 0))
+            a, b, n = [], [], 0
+            for i in was + np.flatnonzero(sought[was:]):
+                part = slice(begin[i], i)
+                differing = np.bitwise_count((sk0[part] ^ sk0[i]).view(np.uint64)) + np.bitwise_count((sk1[part] ^ sk1[i]).view(np.uint64))
+                near = rid[part][differing <= differ]
+                a.append(near)
+                b.append(np.full(len(near), rid[i]))
+                n += len(near)
+                if n > 100_000:
+                    yield emit(a, b)
+                    a, b, n = [], [], 0
+            if n:
+                yield emit(a, b)
+            held = [c[begin[-1] :] for c in cols]
+
+    return run
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select("a", "b").filter("a <> b").distinct()
 
 
 def not_first(rows: DataFrame, key: str, source: str, at: str, by: str) -> DataFrame:
@@ -120,14 +171,29 @@ def not_first(rows: DataFrame, key: str, source: str, at: str, by: str) -> DataF
     return keyed.select(key).join(firsts, key, "left_anti")
 
 
-def _text_found(feats: DataFrame, sets: Callable[[DataFrame], DataFrame], key: str, source: str, at: str, nb: Neighbourhood) -> DataFrame:
+def _text_found(feats: DataFrame, sets: Callable[[DataFrame], DataFrame], done: DataFrame, key: str, source: str, at: str, nb: Neighbourhood) -> DataFrame:
+    """Ids found by text; for those that are ``done`` already the search may end early."""
     usable = feats.filter(F.col("cid").isNotNull() & F.col(source).isNotNull())
     firsts = usable.groupBy(source, "cid").agg(F.min(F.struct(at, key)).alias("_first")).select(F.col(f"_first.{key}").alias(key))
     reps = usable.join(firsts, key, "left_semi")
-    pairs = ND.verified(neighbour_pairs(reps, source, nb), sets, ND.Plan(width=nb.width, threshold=nb.threshold)).select("a", "b")
     order = reps.select("rid", F.struct(at, key).alias("_o")).distinct()
-    later = pairs.join(order.select(F.col("rid").alias("a"), F.col("_o").alias("_x")), "a").join(order.select(F.col("rid").alias("b"), F.col("_o").alias("_y")), "b")
-    return later.select(F.greatest("_x", "_y")[key].alias(key))
+
+    def later(pairs: DataFrame) -> DataFrame:
+        same = ND.verified(pairs, sets, ND.Plan(width=nb.width, threshold=nb.threshold)).select("a", "b")
+        both = same.join(order.select(F.col("rid").alias("a"), F.col("_o").alias("_x")), "a").join(order.select(F.col("rid").alias("b"), F.col("_o").alias("_y")), "b")
+        return both.select(F.greatest("_x", "_y")[key].alias(key)).distinct()
+
+    met = stash(neighbours(reps, source, nb), "neighbours")
+    found = later(_pairs(met.filter("b is not null")))
+    crowded = met.filter("rng is not null").select(F.col("a").alias("rid"), "rng").distinct()
+    if not crowded.limit(1).count():
+        return found
+    found = stash(found, "found")
+    settled = found.unionByName(done).distinct().withColumn("_settled", F.lit(True))
+    known = reps.select(key, F.col(at).alias("_at"), "rid", "sk0", "sk1", "fresh").distinct().join(settled, key, "left")
+    rows = crowded.join(known.withColumn("sought", (F.col("fresh") & F.col("_settled").isNull()).cast("int")), "rid")
+    ordered = rows.repartition("rng").sortWithinPartitions("rng", "_at", key).select("rng", "sk0", "sk1", "rid", "sought")
+    return found.unionByName(later(_pairs(ordered.mapInArrow(_earlier(nb), "a bigint, b bigint"))))
 
 
 def found_in(df: DataFrame, key: str, source: str, at: str, hash_col: str, url_col: str, texts: list[str], nb: Neighbourhood) -> DataFrame:
@@ -137,7 +203,7 @@ def found_in(df: DataFrame, key: str, source: str, at: str, hash_col: str, url_c
     out = not_first(exact, key, source, at, "_h").unionByName(not_first(exact, key, source, at, "_u"))
     out = out.unionByName(not_first(feats, key, source, at, "cid"))
     sets = lambda ids: ND.sets_of(df, key, texts, ND.Plan(width=nb.width), ids)
-    return out.unionByName(_text_found(feats, sets, key, source, at, nb)).distinct()
+    return out.unionByName(_text_found(feats, sets, out, key, source, at, nb)).distinct()
 
 
 class ArrivalIndex:
@@ -180,7 +246,7 @@ class ArrivalIndex:
             feats = feats.unionByName(old["feats"].withColumn("fresh", F.lit(False)))
         out = not_first(merged["exact"], key, source, at, "_h").unionByName(not_first(merged["exact"], key, source, at, "_u"))
         out = out.unionByName(not_first(merged["feats"], key, source, at, "cid"))
-        out = out.unionByName(_text_found(feats, lambda ids: ND.perhaps_in(merged["sets"], ids), key, source, at, nb)).distinct()
+        out = out.unionByName(_text_found(feats, lambda ids: ND.perhaps_in(merged["sets"], ids), out, key, source, at, nb)).distinct()
         self.runs.append(run)
         return out.join(read["exact"].select(key), key, "left_semi")
 

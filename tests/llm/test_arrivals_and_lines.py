@@ -71,6 +71,30 @@ def test_index_over_batches_equals_bulk(spark, tmp_path):
     assert got == brute(data)
 
 
+def crowd(n, shared, own, seed):
+    """n texts of one source with a common text of ``shared`` words and ``own`` words of their own."""
+    r = random.Random(seed)
+    start = dt.datetime(2026, 1, 1, tzinfo=dt.timezone.utc)
+    common = " ".join(f"c{i}" for i in range(shared))
+    times = r.sample(range(10 * n), n)
+    return [(f"id{k:05d}", "s1", start + dt.timedelta(minutes=times[k]), None, None, f"{common} " + " ".join(f"o{k}x{i}" for i in range(own)), "x", 1) for k in range(n)]
+
+
+def test_all_but_the_first_of_a_crowd_are_found(spark):
+    data = crowd(3000, 60, 10, 3)
+    first = min(data, key=lambda x: (x[2], x[0]))[0]
+    got = {r[0] for r in A.found_in(spark.createDataFrame(data, SCHEMA), *ARGS, NB).collect()}
+    assert {x[0] for x in data} - got == {first}
+
+
+def test_single_partners_in_a_crowd_are_found(spark):
+    data = crowd(500, 40, 40, 5)  # similar to 0.32 only
+    words = {x[0]: x[5].split() for x in data}
+    again = [(f"z{k}", "s1", x[2] + dt.timedelta(days=90), None, None, " ".join(words[x[0]][:-12] + [f"z{k}x{i}" for i in range(12)]), "x", 1) for k, x in enumerate(data[:40])]
+    df = spark.createDataFrame(data + again, SCHEMA)
+    assert {r[0] for r in A.found_in(df, *ARGS, A.Neighbourhood(width=3, threshold=0.5, window=2)).collect()} == {x[0] for x in again}
+
+
 def test_page_keys(spark):
     urls = ["https://www.A.example:443/x/?id=5&utm=1#t", "http://a.example/x?id=5", "a.example/x?z=1&id=5", "http://a.example/x?id=6", "http://a.example/X?id=5", "", "  ", None]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(A.page_key(A.F.col("u"))).collect()]
