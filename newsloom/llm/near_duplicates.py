@@ -12,8 +12,9 @@ Two records whose one-bit sketches differ too much are let go at once; a pair th
 keys is verified exactly on the full shingle sets.
 
 Hot keys.  A run longer than ``run_cap`` or a table key with more than ``key_cap`` records is not expanded where
-it stands: its records go to a second level, keyed by (hot key, left collection of another tensor), which
-spreads them over many tasks.  Nothing is dropped.
+it stands: its records go to a second level, which spreads them over many tasks.  They are keyed there by (hot key,
+left collection of any tensor but the hot key's own one) and by (hot key, right collection of the hot key's tensor
+but its own one), so that a hot key and any second table key, of whatever tensor, are two shared table keys.
 
 Defaults are for a similarity of 0.5 with no pair just below 0.55 (5 tensors of 5 + 5 collections: a pair of
 similarity 0.56 is missed with probability 0.006, of 0.6 with 0.001; see ``tests/llm``).
@@ -117,21 +118,31 @@ def _packed(plan: Plan) -> int:
 def _left_rows(classes: DataFrame, plan: Plan, prefix: str | None = None) -> DataFrame:
     """p0, p1.., sk, rid: one row per left collection; the high half of p0 is its key, the other halves the right keys."""
     low = lambda c: c.bitwiseAND(F.lit(0xFFFFFFFF))
-    rows, own = [], [[] for _ in range(plan.tables)]
+
+    def packed(left, rights):
+        halves = [left, *rights] + [F.lit(0).cast("bigint")] * (len(rights) % 2 == 0)
+        return [F.shiftleft(halves[i], 32).bitwiseOR(halves[i + 1]).alias(f"p{i // 2}") for i in range(0, len(halves), 2)]
+
+    rows, own = [], []
     for k in range(plan.lefts):
         t = k // plan.side
         rights = [low(F.col(f"s{t * plan.side + j}")) for j in range(plan.side)]
         lead = [F.lit(k), F.shiftright(F.col(f"s{k}"), 32)]
         left = low(F.xxhash64(*([F.col(prefix)] if prefix else []), *lead))
-        own[t].append(low(F.xxhash64(*lead)))
-        halves = [left, *rights] + [F.lit(0).cast("bigint")] * (len(rights) % 2 == 0)
-        packed = [F.shiftleft(halves[i], 32).bitwiseOR(halves[i + 1]) for i in range(0, len(halves), 2)]
-        fields = [p.alias(f"p{i}") for i, p in enumerate(packed)]
-        rows.append((t, fields))
-    if prefix:  # the tensor that a hot key came from would only find the same group again
-        mine = [F.array_contains(F.array(*keys), F.shiftrightunsigned(prefix, 32)) for keys in own]
-        rows = [(t, [*fields, (~mine[t]).alias("use")]) for t, fields in rows]
-    rows = [F.struct(*fields) for _, fields in rows]
+        own.append(low(F.xxhash64(*lead)))
+        rows.append(packed(left, rights))
+    if prefix:
+        hot_left, hot_right = F.shiftrightunsigned(prefix, 32), low(F.col(prefix))
+        # the left collection that a hot key came from would only find the same group again
+        rows = [[*fields, (own[k] != hot_left).alias("use")] for k, fields in enumerate(rows)]
+        for k in range(plan.lefts):  # pairs of the hot key's tensor that share its left collection only, and two right ones
+            t, j = divmod(k, plan.side)
+            rights = [low(F.col(f"s{t * plan.side + i}")) for i in range(plan.side)]
+            left = low(F.xxhash64(F.col(prefix), F.lit(plan.lefts + k), rights[j]))
+            others = [low(F.xxhash64("rid", F.lit(i))) if i == j else r for i, r in enumerate(rights)]
+            mine = F.array_contains(F.array(*own[t * plan.side : (t + 1) * plan.side]), hot_left)
+            rows.append([*packed(left, others), (mine & (rights[j] != hot_right)).alias("use")])
+    rows = [F.struct(*fields) for fields in rows]
     out = classes.select("rid", "sk", F.explode(F.array(*rows)).alias("r")).select(*[F.col(f"r.p{i}") for i in range(_packed(plan))], "sk", "rid", *(["r.use"] if prefix else []))
     return out.filter("use").drop("use") if prefix else out
 

@@ -51,6 +51,23 @@ def test_hot_keys_go_to_the_second_level(spark):
     assert len(away(rows, got)) <= 0.002 * len(got)
 
 
+def test_hot_keys_lose_no_candidates(spark):
+    r = random.Random(11)
+    texts = []
+    for k in range(120):  # similar to about 0.55
+        texts.append(" ".join(f"v{i}" if i % 60 < 42 else f"v{i}o{k % 40}x{r.randrange(3)}" for i in range(240)))
+    df = spark.createDataFrame([(f"a{k}", t) for k, t in enumerate(texts)], "article_id string, body string")
+
+    def pairs(plan):
+        classes = ND.signatures(df, "article_id", ["body"], plan).filter("cid is not null").dropDuplicates(["cid"])
+        return {tuple(x) for x in ND.candidates(classes, plan).collect()}
+
+    whole = pairs(ND.Plan(width=3, threshold=0.5, key_cap=10**9))
+    assert len(whole) > 1000
+    for cap in (3, 10):
+        assert not whole - pairs(ND.Plan(width=3, threshold=0.5, key_cap=cap))
+
+
 def test_empty_null_and_clashing_columns(spark):
     schema = "article_id string, rid string, cid int, a string, title string, body string"
     empty = spark.createDataFrame([], schema)
