@@ -50,6 +50,8 @@ class Plan:
     #: Records of one left key, and of one table key, from which on they go to the second level.
     run_cap: int = 100_000
     key_cap: int = 256
+    #: Rows a task gathers before it works off the runs that have ended.
+    buffer: int = 50_000
 
     @property
     def lefts(self) -> int:
@@ -188,18 +190,28 @@ def _collisions(plan: Plan, last: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
+        cut: np.uint64 | None = None  # left key of the last run that was too long: its later rows are hot too
+
+        def hot_rows(rid: np.ndarray, left: np.uint64) -> pa.RecordBatch:
+            return emit(rid.view(np.int64), None, np.full(len(rid), left, np.uint64) << np.uint64(32))
 
         def close(cols: list[np.ndarray], whole: bool):
             """Work off all ended runs; returns the rows of the run that may go on."""
+            nonlocal cut
+            out = []
+            if cut is not None:
+                more = int(np.searchsorted(cols[0] >> np.uint64(32), cut, "right"))
+                if more:
+                    out.append(hot_rows(cols[-1][:more], cut))
+                    cols = [c[more:] for c in cols]
             p0 = cols[0]
             if not len(p0):
-                return cols, []
+                return cols, out
             left = p0 >> np.uint64(32)
             end = len(p0) if whole else int(np.searchsorted(left, left[-1]))
-            out = []
             if not whole and end == 0 and len(p0) > plan.run_cap and not last:
-                rid = cols[-1].view(np.int64)
-                out.append(emit(rid, None, np.full(len(rid), left[-1], np.uint64) << np.uint64(32)))
+                cut = left[-1]
+                out.append(hot_rows(cols[-1], cut))
                 return [c[:0] for c in cols], out
             done = [c[:end] for c in cols]
             for a, b, hot in pairs(done[:n_packed], done[n_packed], done[n_packed + 1].view(np.int64), np.inf if last else plan.key_cap):
@@ -212,7 +224,7 @@ def _collisions(plan: Plan, last: bool):
             new = [np.asarray(batch.column(i)).view(np.uint64) for i in range(n_packed + 2)]
             held.append(new)
             size += len(new[0])
-            if size < 50_000:
+            if size < plan.buffer:
                 continue
             cols, out = close([np.concatenate(c) for c in zip(*held)], False)
             yield from out

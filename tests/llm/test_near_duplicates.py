@@ -68,6 +68,21 @@ def test_hot_keys_lose_no_candidates(spark):
         assert not whole - pairs(ND.Plan(width=3, threshold=0.5, key_cap=cap))
 
 
+def test_later_rows_of_a_cut_run_are_hot_too():
+    import numpy as np
+    import pyarrow as pa
+
+    plan = ND.Plan(run_cap=10, buffer=5)
+    left = np.array([3] * 4 + [7] * 33 + [9] * 3, np.int64)
+    rest = np.arange(len(left), dtype=np.int64)
+    p0 = left << 32 | 1000 + rest
+    others = [(5000 + 100 * i + rest) << 32 | 9000 + 100 * i + rest for i in range(ND._packed(plan) - 1)]
+    cols = [p0, *others, np.zeros_like(rest), rest]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[i : i + 3]) for c in cols], names=[f"c{k}" for k in range(len(cols))]) for i in range(0, len(left), 3)]
+    out = [r for b in ND._collisions(plan, False)(iter(batches)) for r in b.to_pylist()]
+    assert {(r["a"], r["hot"]) for r in out} == {(k, 7 << 32) for k in range(4, 37)}
+
+
 def test_empty_null_and_clashing_columns(spark):
     schema = "article_id string, rid string, cid int, a string, title string, body string"
     empty = spark.createDataFrame([], schema)
