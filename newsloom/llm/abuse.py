@@ -17,8 +17,8 @@ Method: exact TF-IDF cosine to labelled passages, found with block-max inverted
   votes, shrunk towards the share of flagged documents by a weak prior, is the passage's score; a document's score
   is that of its worst passage, which is given as evidence.
 
-Labels: at most ``MAX_LABELLED`` documents are used, chosen by hash of the id; a reviewed document keeps its
-label (score 1 or 0).  Everything else covers all documents and whole texts.
+Labels: the index is built of at most ``MAX_LABELLED`` documents, chosen by hash of the id; every reviewed document with a text
+keeps its label (score 1 or 0), in the index or not.  Everything else covers all documents and whole texts.
 
 Defined results: null, empty and blank text score 0 with no evidence; without labels every score is 0; repeated
 rows of an id count once; a document labelled twice is flagged if one label flags it.
@@ -198,7 +198,6 @@ class Index:
         self.clear_harmless(v)
         self.build_blocks(len(kept))
         self.base = float(self.bad.mean()) if len(self.bad) else 0.0
-        self.labels = {d: b for d, _, b in docs}
 
     def build_blocks(self, n_terms: int) -> None:
         row = np.repeat(np.arange(len(self.doc)), np.diff(self.at))
@@ -303,10 +302,14 @@ class Index:
         return score, near, cosine
 
 
+def marks_of(labels: DataFrame, key: str, label: str, clean: str) -> DataFrame:
+    """(key, _bad): every labelled document once, 1 if one of its labels flags it."""
+    return labels.filter(F.col(label).isNotNull()).groupBy(key).agg(F.max((F.lower(F.trim(label)) != clean).cast("int")).alias("_bad"))
+
+
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, clean: str) -> list[tuple[int, str, bool]]:
     """At most ``MAX_LABELLED`` labelled documents (key, text, flagged), chosen by hash."""
-    marks = labels.filter(F.col(label).isNotNull()).groupBy(key).agg(F.max((F.lower(F.trim(label)) != clean).cast("int")).alias("_bad"))
-    chosen = marks.orderBy(F.xxhash64(key), key).limit(MAX_LABELLED)
+    chosen = marks_of(labels, key, label, clean).orderBy(F.xxhash64(key), key).limit(MAX_LABELLED)
     rows = docs.select(key, F.col(text).alias("_text")).filter("_text is not null").join(F.broadcast(chosen), key).collect()
     return sorted({(r[key], r["_text"], bool(r["_bad"])) for r in rows})
 
@@ -325,14 +328,14 @@ def score(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, c
         for b in batches:
             ids = b.column(0).to_pylist()
             s, near, cosine = index.score_batch(ids, b.column(b.num_columns - 1).to_pylist(), reader, v)
-            for i, d in enumerate(ids):
-                if d in index.labels:
-                    s[i], near[i], cosine[i] = float(index.labels[d]), d, 1.0
-            data = [*b.columns[:-1], pa.array(np.round(s, 6)), pa.array(near, mask=near < 0), pa.array(np.round(cosine, 6)), pa.array(s >= v.cut)]
-            yield pa.RecordBatch.from_arrays(data, names=[key, *keep, "score", "near", "cosine", "is_case"])
-
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [key, *keep]) + f", score double, near {rows.schema[key].dataType.simpleString()}, cosine double, is_case boolean"
-    return rows.mapInArrow(run, schema).dropDuplicates([key])
+            data = [*b.columns[:-1], pa.array(np.round(s, 6)), pa.array(near, mask=near < 0), pa.array(np.round(cosine, 6)), pa.array(s >= v.cut), b.column(b.num_columns - 1).is_valid()]
+            yield pa.RecordBatch.from_arrays(data, names=[key, *keep, "score", "near", "cosine", "is_case", "_read"])
+
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in [key, *keep]) + f", score double, near {rows.schema[key].dataType.simpleString()}, cosine double, is_case boolean, _read boolean"
+    scored = rows.mapInArrow(run, schema).dropDuplicates([key]).join(marks_of(labels, key, label, clean), key, "left")
+    kept = F.col("_bad").isNotNull() & F.col("_read")
+    given = {"score": F.col("_bad").cast("double"), "near": F.col(key), "cosine": F.lit(1.0), "is_case": F.col("_bad") == 1}
+    return scored.select(key, *keep, *[F.when(kept, mark).otherwise(F.col(c)).alias(c) for c, mark in given.items()])
 
 
 def rates(scored: DataFrame, source: str) -> DataFrame:

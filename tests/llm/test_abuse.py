@@ -35,6 +35,15 @@ def test_held_out_documents(spark):
     assert rate[0].docs == 404 and rate[0].cases == sum(r.is_case for r in out)
 
 
+def test_labels_outside_the_index_hold(spark, monkeypatch):
+    monkeypatch.setattr(A, "MAX_LABELLED", 30)
+    rows = [(k, t, not b if k % 10 == 0 else b) for k, t, b in corpus(200, 6)]  # some labels against the text
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, "abusive" if b else "clean") for k, _, b in rows], "doc_id bigint, label string")
+    got = {r.doc_id: r for r in A.score(docs, labels, "doc_id", "text", "label").collect()}
+    assert all((got[k].score, got[k].is_case, got[k].near, got[k].cosine) == (float(b), b, k, 1.0) for k, _, b in rows)
+
+
 def test_without_labels_or_documents(spark):
     docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, label string")
