@@ -1,7 +1,7 @@
 """Checking each batch of articles against everything the same source delivered before.
 
-Method: multi-key sorted neighbourhood.  Every record has several sort keys; a run keeps the records in key
-ranges, a batch is merged into the ranges it touches and only windows around its records are compared.
+Method: multi-key sorted neighbourhood.  Every record has several sort keys, which put it into key ranges; only
+records of a batch are compared, with those of their ranges.  The ranges are not persisted: a batch reads all runs.
 
 * Exact keys (content hash, page): equal keys form one run entry, which compaction reduces to its first record;
   a record is found when it is not that first one.  The first record comes from a map-side combined minimum and
