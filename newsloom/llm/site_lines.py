@@ -1,6 +1,7 @@
 """Lines repeated across the documents of one site or source.
 
-Method: per-source line-count tables kept between batches.  ``count_lines`` counts in how many documents of its
+Method: per-source line-count tables; the queries count a whole table as one batch, nothing is kept between batches.
+``merge`` and ``crossings`` are parts for batches, not joined to an operator yet.  ``count_lines`` counts in how many documents of its
 source each line stands (a delta), ``merge`` adds a delta to the kept table, ``crossings`` names the lines whose
 status changed and ``rebuild`` writes anew only the documents that contain such a line.
 
