@@ -29,19 +29,26 @@ def test_held_out_documents(spark):
     got = {r.doc_id: r for r in out}
     held = rows[200:]
     assert sum(got[k].is_case == b for k, _, b in held) >= 0.97 * len(held)
-    assert all(got[k].score == float(b) for k, _, b in rows[:200])
+    assert sum(got[k].is_case == b for k, _, b in rows[:200]) >= 194  # no label is copied
     assert all(got[k].score == 0 and got[k].near is None for k in (9000, 9001, 9002)) and not got[9003].is_case
     rate = A.rates(A.score(docs, labels, "doc_id", "text", "label", keep=["source"]), "source").collect()
     assert rate[0].docs == 404 and rate[0].cases == sum(r.is_case for r in out)
 
 
-def test_labels_outside_the_index_hold(spark, monkeypatch):
-    monkeypatch.setattr(A, "MAX_LABELLED", 30)
-    rows = [(k, t, not b if k % 10 == 0 else b) for k, t, b in corpus(200, 6)]  # some labels against the text
-    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id bigint, text string")
-    labels = spark.createDataFrame([(k, "abusive" if b else "clean") for k, _, b in rows], "doc_id bigint, label string")
-    got = {r.doc_id: r for r in A.score(docs, labels, "doc_id", "text", "label").collect()}
-    assert all((got[k].score, got[k].is_case, got[k].near, got[k].cosine) == (float(b), b, k, 1.0) for k, _, b in rows)
+def test_common_wording_of_flagged_documents_is_no_evidence(spark):
+    """A line that by chance stands in flagged reviewed documents only, but in many others too."""
+    rows = corpus(600, 6)
+    ids = {k for k, _, _ in rows[:150]}
+    noise = "Qorvex ledger bulletin number seven is out"
+    texts = {k: t + (f"\n{noise}" if (k in ids and b and k % 4 == 0) or (k not in ids and not b and k % 3 == 0) else "") for k, t, b in rows}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, "abusive" if b else "clean") for k, _, b in rows[:150]], "doc_id bigint, label string")
+    got = {r.doc_id: r.is_case for r in A.score(docs, labels, "doc_id", "text", "label").collect()}
+    held = rows[150:]
+    assert sum(got[k] == b for k, _, b in held) >= 0.97 * len(held)
+    assert A.reliability([(1, 20, 0, 40), (2, 0, 0, 90), (3, 5, 9, 10), (4, 0, 0, 0)], A.Votes()).keys() == {1, 2, 3, 4}
+    factor = A.reliability([(1, 20, 0, 40), (2, 0, 0, 90), (3, 5, 9, 10)], A.Votes())
+    assert factor[1] == 1 and factor[2] < 0.2 and factor[3] < 0.2 and A.reliability([], A.Votes()) == {}
 
 
 def test_without_labels_or_documents(spark):
@@ -51,9 +58,10 @@ def test_without_labels_or_documents(spark):
     assert A.score(docs.filter("doc_id > 5"), labels, "doc_id", "text", "label").count() == 0
 
 
-def test_neighbours_equal_brute_force():
+def test_neighbours_equal_brute_force(monkeypatch):
     import numpy as np
 
+    monkeypatch.setattr(A, "RANGE", 8)
     v = A.Votes(least=0.3, k=5)
     rows = corpus(80, 3)
     ix = A.Index(rows, v)
@@ -61,14 +69,20 @@ def test_neighbours_equal_brute_force():
     dense = np.zeros((len(ix.doc), len(ix.idf)), np.float32)
     dense[np.repeat(np.arange(len(ix.doc)), np.diff(ix.at)), ix.flat] = ix.weight
     flat, row, _ = reader.passages([t for _, t, _ in corpus(20, 8)], v)
+    met_some = 0
     for p in range(row[-1] + 1):
         terms = np.unique(flat[(row == p) & (flat >= 0)])
         if not len(terms):
             continue
         w = (ix.idf[terms] / np.sqrt((ix.idf[terms] ** 2).sum())).astype(np.float32)
-        cos, _ = ix.neighbours(terms, w, -1, v, v.k)
-        all_cos = np.sort(dense[:, terms] @ w)[::-1]
-        want = all_cos[all_cos >= v.least]
+        cos, met = ix.neighbours(terms, w, -1, v, v.k)
+        all_cos = dense[:, terms] @ w
+        if all_cos[ix.bad].max(initial=0) < v.least:
+            assert not len(met)
+            continue
+        met_some += 1
+        want = np.sort(all_cos)[::-1]
+        want = want[want >= v.least]
         want = want[: max(v.k, int((want >= want[v.k - 1] - 1e-6).sum()))] if len(want) > v.k else want
         assert len(cos) == len(want) and np.allclose(cos, want, atol=1e-5)
-        assert ix.flagged_reach(terms, w, v) == bool((dense[ix.bad][:, terms] @ w).max(initial=0) >= v.least - 1e-6)
+    assert met_some > 5
