@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,21 +26,60 @@ def title_key(c: Column) -> Column:
     return F.lower(squeeze(c))
 
 
+def code_point(n: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    good = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    return F.when(good, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def unescape(c: Column) -> Column:
+    """Named entities (of HTML 4) and numeric ones as their character, once; anything else after an ampersand stays."""
+    names = F.create_map(*[F.lit(x) for name, n in name2codepoint.items() for x in (name, chr(n))])
+
+    def one(piece: Column) -> Column:
+        body = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        hexed = F.conv(F.regexp_extract(body, "^#[xX](.+)", 1), 16, 10).cast("bigint")
+        sign = F.when(body.rlike("^#[xX]"), code_point(hexed)).when(body.startswith("#"), code_point(F.substring(body, 2, 9).cast("bigint"))).otherwise(F.element_at(names, body))
+        return F.coalesce(F.concat(sign, F.substr(piece, F.length(body) + 2)), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(c, "&")
+    whole = F.concat(F.element_at(pieces, 1), F.array_join(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), one), ""))
+    return F.when(F.contains(c, F.lit("&")), whole).otherwise(c)
+
+
 def strip_html(c: Column) -> Column:
-    """Tags become blanks, the five basic entities their sign."""
-    out = F.regexp_replace(c, "<[^>]*>", " ")
-    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(sign))
-    return squeeze(out)
+    """Entities become their signs first, then tags become blanks, so that escaped tags go too."""
+    return squeeze(F.regexp_replace(unescape(c), "<[^>]+>", " "))
 
 
-def canonical_url(c: Column) -> Column:
-    """Without fragment, tracking and empty parameters; '' unless http(s) with a host."""
+def _recoded(part: Column) -> Column:
+    """A part of a query, decoded and encoded again: blanks as +, only letters, figures and _.-~ as they are."""
+    plain = F.coalesce(F.try_url_decode(part), part)
+    return F.replace(F.replace(F.url_encode(plain), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
+def _without_tracking(c: Column) -> Column:
     base, query = F.regexp_extract(c, r"^([^?#]*)", 1), F.regexp_extract(c, r"^[^?#]*\?([^#]*)", 1)
-    name = lambda p: F.lower(F.substring_index(p, "=", 1))
-    kept = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]+=.+") & ~name(p).isin(TRACKING_PARAMS) & ~name(p).startswith(TRACKING_PREFIX))
-    full = F.when(F.size(kept) > 0, F.concat(base, F.lit("?"), F.array_join(kept, "&"))).otherwise(base)
-    return F.when(c.rlike(r"(?i)^https?://[^/?#]+"), full).otherwise(F.when(c.isNotNull(), ""))
+    name = lambda p: F.substring_index(p, "=", 1)
+    plain = lambda p: F.lower(F.coalesce(F.try_url_decode(name(p)), name(p)))
+    kept = F.filter(F.split(query, "&"), lambda p: p.rlike("^[^=]+=.+") & ~plain(p).isin(TRACKING_PARAMS) & ~plain(p).startswith(TRACKING_PREFIX))
+    kept = F.transform(kept, lambda p: F.concat(_recoded(name(p)), F.lit("="), _recoded(F.regexp_extract(p, "^[^=]+=(.*)", 1))))
+    together = F.flatten(F.transform(F.array_distinct(F.transform(kept, name)), lambda n: F.filter(kept, lambda p: name(p) == n)))
+    full = F.when(F.size(kept) > 0, F.concat(base, F.lit("?"), F.array_join(together, "&"))).otherwise(base)
+    scheme = F.lower(F.regexp_extract(c, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    web = scheme.isin("http", "https")
+    lowered = F.when(web, F.concat(scheme, F.substr(full, F.length(scheme) + 1))).otherwise(full)
+    return F.when((scheme == "") | (web & c.rlike(r"(?i)^https?://[^/?#]+")), lowered).otherwise(F.when(c.isNotNull(), ""))
+
+
+def canonical_url(c: Column) -> Column:
+    """Without fragment, tracking and empty parameters, the others encoded alike and those of one name together; a click
+    link gives its target; '' for other schemes than http(s) and for http(s) without a host; a link without a scheme stays."""
+    click = c.rlike(r"(?i)^[a-z]+://[^/?#]*bing\.com[^/?#]*/([^?#]*/)?news/apiclick\.aspx([?#]|$)")
+    target = F.regexp_extract(c, r"[?&]url=([^&#]+)", 1)
+    once = F.coalesce(F.try_url_decode(target), target)
+    twice = F.coalesce(F.try_url_decode(F.replace(once, F.lit("+"), F.lit("%2B"))), once)
+    return _without_tracking(F.when(click & (target != ""), twice).otherwise(c))
 
 
 def url_host(c: Column) -> Column:

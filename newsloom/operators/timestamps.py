@@ -33,7 +33,7 @@ UNIT_SECONDS = [(r"sec|秒", 1), (r"min|分", 60), (r"h|小时|時|时", 3600),
 
 _ZONE = r"(z|[a-z]{2,4}|(?:utc|gmt)?[+-]\d{2}(?::?\d{2})?)"
 _CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d{1,9})?)?(?:\s*([ap]\.?m\.?))?(?:\s*" + _ZONE + r")?"
-CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\+00:00$"
+CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\+00:00\z"
 
 #: name, pattern, positions of (year, month, day, hour, minute, second, half of day, zone); 0: not written.
 PATTERNS = [

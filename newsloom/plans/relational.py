@@ -313,11 +313,13 @@ def x3_last_wins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def x4_duplicate_tiers(spark: SparkSession, d: str) -> DataFrame:
-    """The first match of each article in its source: same hash, then same URL, then same title; which tier and which row."""
+    """What each article repeats of its source's earlier ones: same hash, else same canonical URL, else same URL where it is
+    another, else same title at the same published time; which tier and the newest such article."""
     from newsloom.operators.state import duplicate_tiers
 
-    a = _articles(spark, d, "source_id", "content_hash", "canonical_url", "title_norm", "collected_at")
-    return duplicate_tiers(a, "article_id", "source_id", "collected_at", ["content_hash", "canonical_url", "title_norm"])
+    a = _articles(spark, d, "source_id", "content_hash", "canonical_url", "url", "title_norm", "published_at", "collected_at")
+    tiers = {"content_hash": ["content_hash"], "canonical_url": ["canonical_url"], "url": ["url"], "title_time": ["title_norm", "published_at"]}
+    return duplicate_tiers(a, "article_id", "source_id", "collected_at", tiers, {"url": ~F.col("url").eqNullSafe(F.col("canonical_url"))})
 
 
 def x6_set_ops(spark: SparkSession, d: str) -> DataFrame:
@@ -401,11 +403,11 @@ ORACLE = {
       FROM (SELECT * FROM l WHERE o) a FULL JOIN (SELECT * FROM l WHERE NOT o) b USING (article_id) GROUP BY 1""",
     "x2_first_wins": r"SELECT key, article_id FROM (SELECT lower(trim(regexp_replace(title, '[\s\pZ]+', ' ', 'g'))) AS key, article_id, row_number() OVER (PARTITION BY lower(trim(regexp_replace(title, '[\s\pZ]+', ' ', 'g'))) ORDER BY collected_at, article_id) k FROM " + _A + ") WHERE k = 1",
     "x3_last_wins": "SELECT canonical_url, max_by(article_id, (collected_at, article_id)) article_id, epoch(min(collected_at))::BIGINT first_at FROM news_articles WHERE canonical_url IS NOT NULL GROUP BY 1",
-    "x4_duplicate_tiers": """WITH a AS (SELECT DISTINCT article_id, source_id, content_hash, canonical_url, title_norm, collected_at FROM news_articles),
-      f AS (SELECT *, first_value(article_id) OVER (PARTITION BY source_id, content_hash ORDER BY collected_at, article_id) h, first_value(article_id) OVER (PARTITION BY source_id, canonical_url ORDER BY collected_at, article_id) u, first_value(article_id) OVER (PARTITION BY source_id, title_norm ORDER BY collected_at, article_id) t FROM a)
-      SELECT article_id, CASE WHEN content_hash IS NOT NULL AND h <> article_id THEN 'content_hash' WHEN canonical_url IS NOT NULL AND u <> article_id THEN 'canonical_url' WHEN title_norm IS NOT NULL AND t <> article_id THEN 'title_norm' END tier,
-        CASE WHEN content_hash IS NOT NULL AND h <> article_id THEN h WHEN canonical_url IS NOT NULL AND u <> article_id THEN u WHEN title_norm IS NOT NULL AND t <> article_id THEN t END existing_id
-      FROM f WHERE (content_hash IS NOT NULL AND h <> article_id) OR (canonical_url IS NOT NULL AND u <> article_id) OR (title_norm IS NOT NULL AND t <> article_id)""",
+    "x4_duplicate_tiers": """WITH a AS (SELECT DISTINCT article_id, source_id, nullif(trim(content_hash), '') content_hash, nullif(trim(canonical_url), '') canonical_url, nullif(trim(url), '') url, nullif(trim(title_norm), '') title_norm, nullif(trim(published_at), '') published_at, collected_at FROM news_articles WHERE source_id IS NOT NULL),
+      m AS (SELECT x.article_id, y.article_id existing_id, y.collected_at, CASE WHEN x.content_hash = y.content_hash THEN 1 WHEN x.canonical_url = y.canonical_url THEN 2 WHEN x.url = y.url AND x.url IS DISTINCT FROM x.canonical_url THEN 3 ELSE 4 END tier
+        FROM a x JOIN a y ON x.source_id = y.source_id AND (y.collected_at, y.article_id) < (x.collected_at, x.article_id)
+         AND (x.content_hash = y.content_hash OR x.canonical_url = y.canonical_url OR (x.url = y.url AND x.url IS DISTINCT FROM x.canonical_url) OR (x.title_norm = y.title_norm AND x.published_at = y.published_at)))
+      SELECT article_id, ['content_hash','canonical_url','url','title_time'][tier] tier, existing_id FROM m QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY tier, collected_at DESC, existing_id DESC) = 1""",
     "x6_set_ops": f"""WITH a AS (SELECT {_LK.format(c='article_id')} k FROM {_A}), b AS (SELECT {_LK.format(c='article_id')} k FROM {_L})
       SELECT 'union' op, count(*) n FROM (FROM a UNION FROM b) UNION ALL SELECT 'intersect', count(*) FROM (FROM a INTERSECT FROM b) UNION ALL SELECT 'except', count(*) FROM (FROM a EXCEPT FROM b) UNION ALL SELECT 'union_all', count(*) FROM (FROM a UNION ALL FROM b)""",
     "x7_demoted_links": f"""WITH t AS (SELECT article_id FROM {_A} WHERE ends_with(source_id, '_markets')), ev AS (SELECT DISTINCT event_id FROM article_event_links SEMI JOIN t USING (article_id))

@@ -1,13 +1,14 @@
 """Session helpers: table access and the shared working folder.
 
 Intermediate tables go to the folder named by ``spark.checkpoint.dir`` (shared by all executors), so that the
-loss of an executor never loses them.  Only where that setting is absent, as in local tests, a private folder
-is made and entered in the session.
+loss of an executor never loses them.  Only in a local session without that setting a private folder is made.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,12 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_private: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a private one is set only where none is named."""
+    """The folder of ``spark.checkpoint.dir``.  Only a local session may be without it: it gets a private folder, which
+    is kept here, as the setting cannot be changed at run time.  On a cluster its absence is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="newsloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _private.setdefault(spark.sparkContext.applicationId, "")
+        if not base:
+            base = _private[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="newsloom-")
+            atexit.register(shutil.rmtree, base[7:], True)
     return base.rstrip("/")
 
 

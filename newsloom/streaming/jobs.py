@@ -42,18 +42,40 @@ def first_copies(df: DataFrame, keys: list[str], at: str, late: str) -> DataFram
 
 
 def window_counts(df: DataFrame, at: str, width: str, slide: str | None, by: list[str], late: str) -> DataFrame:
-    """Counts per tumbling or sliding window, emitted when the watermark has passed."""
+    """Counts per tumbling or sliding window; the state of a window is dropped when the watermark has passed it."""
     w = F.window(at, width, slide) if slide else F.window(at, width)
     return df.withWatermark(at, late).groupBy(w.alias("w"), *by).agg(F.count("*").alias("n"))
 
 
+def run_updates(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Run an update stream over all that is there and read the last state of each key.
+
+    Every batch's changed rows go to a folder of its own, which a retry replaces; so also the windows that the watermark
+    has not passed when the input ends come out."""
+    spark, out = df.sparkSession, stash_path(df.sparkSession, label)
+    schema = df.schema.add("_batch", "long")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{out}/data/batch={number}")
+
+    query = df.writeStream.foreachBatch(keep).option("checkpointLocation", f"{out}/checkpoint").outputMode("update").trigger(availableNow=True).start()
+    query.awaitTermination()
+    if not query.lastProgress:
+        return spark.createDataFrame([], df.schema)
+    rest = [c for c in df.columns if c not in keys]
+    rows = spark.read.schema(schema).parquet(f"{out}/data/*")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_r")).select(*keys, "_r.*")
+
+
 def upsert_stream(df: DataFrame, table: VersionedTable, keys: list[str], at: str, label: str) -> None:
-    """Keyed upserts batch by batch: the newest row of each key in a batch is merged into the kept table."""
+    """Keyed upserts batch by batch: the newest row of each key, by ``at``, stays, in whatever order the rows come."""
 
     def merge(batch: DataFrame, _: int) -> None:
+        if batch.isEmpty():
+            return
         rest = [c for c in batch.columns if c not in keys]
         newest = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(at)).alias("r")).select(*keys, "r.*")
-        table.upsert(newest, keys)
+        table.upsert(newest, keys, newest_by=at)
 
     out = stash_path(df.sparkSession, label)
     df.writeStream.foreachBatch(merge).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()

@@ -19,7 +19,12 @@ def test_text_functions(spark):
     assert one(spark, "  A　b\n c ", X.squeeze, X.title_key) == ("A b c", "a b c")
     assert one(spark, "<p>a &amp; <b>b</b></p>", X.strip_html) == ("a & b",)
     assert one(spark, "https://X.example/a?UTM_x=1&id=5&oc=2&e=#f", X.canonical_url, X.url_host) == ("https://X.example/a?id=5", "x.example")
+    assert one(spark, "&lt;b&gt;x &#8217;&#x4e2d;&eacute; &amp;lt; &nosuch; a&b &#55555555;", X.strip_html) == ("x ’中é &lt; &nosuch; a&b &#55555555;",)
     assert one(spark, "ftp://x/a", X.canonical_url) == ("",)
+    assert one(spark, "//x.example/a?utm_q=1&b=a b", X.canonical_url) == ("//x.example/a?b=a+b",) and one(spark, "HTTPS:///a", X.canonical_url) == ("",)
+    assert one(spark, "http://x.example/a?b=%41*~&c=1&b=2&utm%5Fz=1", X.canonical_url) == ("http://x.example/a?b=A%2A~&b=2&c=1",)
+    click = "http://www.bing.com/news/apiclick.aspx?ref=x&url=https%3a%2f%2fx.example%2fa%3futm_s%3d1%26id%3d7&c=2"
+    assert one(spark, click, X.canonical_url) == ("https://x.example/a?id=7",)
     assert one(spark, "Éa, b!", X.slug)[0] == "a-b" and one(spark, "利滩", X.slug)[0].startswith("zh-")
     assert len(one(spark, "x" * 200, X.slug)[0]) == 77
     assert one(spark, None, X.squeeze, X.canonical_url, X.slug, X.skeleton) == (None,) * 4
@@ -44,6 +49,45 @@ def test_versioned_table_survives_a_failing_write(spark, tmp_path):
     assert sorted(tuple(r) for r in t.read().collect()) == [(1, "b"), (2, "c")]
 
 
+def test_a_stop_between_write_and_marker_loses_nothing(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/t"
+    t = state.VersionedTable(spark, path)
+    t.replace(spark.range(100).withColumn("v", F.lit("old")))
+    monkeypatch.setattr(t.manifest, "write", lambda s: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        t.upsert(spark.createDataFrame([(1, "new")], "id long, v string"), ["id"])
+    again = state.VersionedTable(spark, path)
+    again.upsert(spark.createDataFrame([(1, "new"), (100, "new")], "id long, v string"), ["id"])
+    assert again.read().count() == 101 and again.read().filter("v = 'new'").count() == 2
+    assert again.manifest.numbers() == [1, 2]
+
+
+def test_an_older_row_in_a_later_file_does_not_win(spark, tmp_path):
+    from newsloom.streaming.jobs import run_updates, upsert_stream, window_counts
+
+    for name, at, v in (("a", 20, "newer"), ("b", 10, "older")):
+        spark.createDataFrame([(1, at, v)], "k int, at int, v string").coalesce(1).write.parquet(f"file://{tmp_path}/in/{name}")
+    stream = spark.readStream.schema("k int, at int, v string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"file://{tmp_path}/in")
+    t = state.VersionedTable(spark, f"file://{tmp_path}/t")
+    upsert_stream(stream, t, ["k"], "at", "order")
+    assert [tuple(r) for r in t.read().select("k", "at", "v").collect()] == [(1, 20, "newer")]
+    days = [(dt.datetime(2024, 1, d, 5, tzinfo=dt.timezone.utc),) for d in (1, 1, 2, 9)]
+    spark.createDataFrame(days, "ts timestamp").write.parquet(f"file://{tmp_path}/ts")
+    stream = spark.readStream.schema("ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/ts")
+    out = run_updates(window_counts(stream, "ts", "1 day", None, [], "10 days"), ["w"], "days")
+    assert sorted(r.n for r in out.collect()) == [1, 1, 2]
+
+
+def test_duplicate_tiers(spark):
+    at = lambda d: dt.datetime(2026, 1, d, tzinfo=dt.timezone.utc)
+    rows = [("a", "s", at(1), "h", "u1", "u1", "t", None), ("b", "s", at(1), "h", "u2", "u9", "t", "p"), ("c", "s", at(5), "h", "u1", "u1", "x", None),
+            ("d", "s", at(6), "k", "u3", "u9", "y", None), ("e", "s", at(7), None, None, "u3", "t", "p"), ("f", None, at(8), "h", "u1", "u1", "t", "p"), ("g", "s", at(9), "", " ", None, "t", None)]
+    df = spark.createDataFrame(rows, "id string, s string, at timestamp, h string, c string, u string, t string, p string")
+    tiers = {"hash": ["h"], "page": ["c"], "url": ["u"], "title": ["t", "p"]}
+    got = sorted(map(tuple, state.duplicate_tiers(df, "id", "s", "at", tiers, {"url": ~F.col("u").eqNullSafe(F.col("c"))}).collect()))
+    assert got == [("b", "hash", "a"), ("c", "hash", "b"), ("d", "url", "b"), ("e", "title", "b")]
+
+
 def test_windows(spark):
     rows = [(dt.datetime(2024, 1, d, 12, tzinfo=dt.timezone.utc),) for d in (2, 3, 4, 31)]
     df = spark.createDataFrame(rows, "ts timestamp")
@@ -106,3 +150,25 @@ def test_every_oracle_has_a_query():
     from newsloom import registry
 
     assert set(registry.oracles()) <= set(registry.queries())
+
+
+def test_private_folder_only_in_local_sessions(spark, monkeypatch):
+    from newsloom import session
+
+    class Bare:
+        """A session without the setting."""
+
+        def __init__(self, master):
+            self.conf, self.sparkContext = self, self
+            self.master, self.applicationId = master, "test-app"
+
+        def get(self, *_):
+            return None
+
+        def getConf(self):
+            return self
+
+    first = session.shared_dir(Bare("local[2]"))
+    assert first.startswith("file:///") and session.shared_dir(Bare("local[2]")) == first
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Bare("spark://host:7077"))
