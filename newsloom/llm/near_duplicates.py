@@ -91,11 +91,11 @@ def perhaps_in(rows: DataFrame, wanted: DataFrame, rid: str = "rid") -> DataFram
     """The rows whose id may be among the wanted ones: a one-hash Bloom filter of fixed size (``FILTER_BITS``) in parts
     of 4 KB, broadcast because its size has a bound.  It lets some others through and never drops a wanted row."""
     bit = F.pmod(F.xxhash64(rid), F.lit(1 << FILTER_BITS))
-    place = F.struct(F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(F.lit(32767)).alias("pos"))
-    parts = wanted.select(place.alias("p")).groupBy("p.part").agg(F.bitmap_construct_agg("p.pos").alias("_bits"))
-    marked = rows.withColumn("_p", place).withColumn("part", F.col("_p.part")).join(F.broadcast(parts), "part")
+    place = F.struct(F.shiftright(bit, 15).alias("_part"), bit.bitwiseAND(F.lit(32767)).alias("pos"))
+    parts = wanted.select(place.alias("p")).groupBy("p._part").agg(F.bitmap_construct_agg("p.pos").alias("_bits"))
+    marked = rows.withColumn("_p", place).withColumn("_part", F.col("_p._part")).join(F.broadcast(parts), "_part")
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(_p.pos div 8 + 1 as int), 1)")), 16, 10).cast("int")
-    return marked.filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(_p.pos % 8 as int))")) != 0).drop("_p", "part", "_bits")
+    return marked.filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(_p.pos % 8 as int))")) != 0).drop("_p", "_part", "_bits")
 
 
 def sets_of(df: DataFrame, key: str, texts: list[str], plan: Plan, wanted: DataFrame | None = None) -> DataFrame:

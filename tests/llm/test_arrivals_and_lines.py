@@ -1,7 +1,11 @@
 import datetime as dt
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from newsloom.llm import arrivals as A
+from newsloom.llm import near_duplicates as ND
 from newsloom.llm import site_lines as L
 from newsloom.llm import shingles as S
 
@@ -62,13 +66,25 @@ def test_bulk_equals_brute_force(spark):
 
 def test_index_over_batches_equals_bulk(spark, tmp_path):
     data = rows(120, 9)
-    index = A.ArrivalIndex(spark, f"file://{tmp_path}/index", *ARGS, NB)
+    make = lambda: A.ArrivalIndex(spark, f"file://{tmp_path}/index", *ARGS, NB, parts=4, compact_after=3)
     got = set()
-    for k in range(0, 120, 40):
-        got |= {r[0] for r in index.add(spark.createDataFrame(data[k : k + 40], SCHEMA)).collect()}
-        if k == 40:
-            index.compact()
+    for k in range(0, 120, 30):  # a new object each time: everything that is kept is in the folder
+        got |= {r[0] for r in make().add(spark.createDataFrame(data[k : k + 30], SCHEMA)).collect()}
     assert got == brute(data)
+    index = make()
+    state = index._state()
+    assert len(state["keys"]) == len(state["exact"]) == 2  # three runs became one, and one came after
+    with pytest.raises(ValueError, match="before the end"):
+        index.add(spark.createDataFrame(data[:5], SCHEMA))
+    assert make()._state() == state and make().add(spark.createDataFrame([], SCHEMA)).count() == 0
+    # a batch of one source looks only at the parts of that source, and there only at its ranges
+    index._kind = "string"
+    every = index.kept_keys(state, [0, 1, 2, 3])
+    one = spark.createDataFrame([("s2",)], "s string").select(F.pmod(F.xxhash64("s"), F.lit(4)).alias("p")).first().p
+    part = index.kept_keys(state, [one])
+    assert 0 < part.count() < every.count()
+    few = ND.perhaps_in(part, part.limit(5), "rng")
+    assert 5 <= few.count() <= 40 and "PartitionFilters: [isnotnull(part" in few._jdf.queryExecution().toString()
 
 
 def crowd(n, shared, own, seed):
@@ -92,7 +108,7 @@ def test_single_partners_in_a_crowd_are_found(spark):
     words = {x[0]: x[5].split() for x in data}
     again = [(f"z{k}", "s1", x[2] + dt.timedelta(days=90), None, None, " ".join(words[x[0]][:-12] + [f"z{k}x{i}" for i in range(12)]), "x", 1) for k, x in enumerate(data[:40])]
     df = spark.createDataFrame(data + again, SCHEMA)
-    assert {r[0] for r in A.found_in(df, *ARGS, A.Neighbourhood(width=3, threshold=0.5, window=2)).collect()} == {x[0] for x in again}
+    assert {r[0] for r in A.found_in(df, *ARGS, A.Neighbourhood(width=3, threshold=0.5, window=2, best=1)).collect()} == {x[0] for x in again}
 
 
 def test_page_keys(spark):
