@@ -2,7 +2,7 @@
 
 Method: look-alike relations between strings and code points (compatibility forms that keep the shape, canonical
 equivalents, a table of look-alike letters, invisible characters, blanks, hyphens) are closed transitively by
-union-find; a base letter with marks belongs to every combination of look-alikes of base and marks.  Each class
+union-find; a composed letter belongs to every composed look-alike of its base and marks.  Each class
 is represented by its most frequent member in the corpus, and a text is rewritten greedily (leftmost, longest)
 with a multi-pattern automaton over all other members.
 
@@ -67,7 +67,8 @@ class UnionFind:
 
 
 def relations(points: list[str]) -> UnionFind:
-    """Look-alike classes over the code points and base-with-marks strings of a corpus."""
+    """Look-alike classes over the code points of a corpus and the strings they are the same as.  A letter with marks that is no code
+    point of its own comes out by its letter and its marks."""
     uf = UnionFind()
     for kept, others in [*LETTERS.items(), *SIGNS.items(), *((v, k) for k, v in RADICALS.items())]:
         for o in others:
@@ -106,7 +107,7 @@ def rewriting(counts: dict[str, int]) -> dict[str, str]:
     freq = lambda s: counts.get(s, 0) if len(s) == 1 else min((counts.get(c, 0) for c in s), default=0)
     out = {}
     for members in classes.values():
-        kept = "" if "" in members else " " if " " in members else min(members, key=lambda s: (-freq(s), len(s), s))
+        kept = "" if "" in members else " " if " " in members else min(members, key=lambda s: (unicodedata.normalize("NFC", s) != s, -freq(s), len(s), s))
         out |= {m: kept for m in members if m != kept}
     return out
 
@@ -130,13 +131,14 @@ class Rewriter:
         return "".join(out) + text[at:]
 
     def rewrite(self, text: str) -> str:
-        """Until nothing changes: removing an invisible character may bring a mark to its base."""
-        for _ in range(5):
-            new = self.once(text)
+        """Until nothing changes: removing an invisible character may bring a mark to its base, and a base in its
+        common form may compose with its mark.  Representatives are composed, so a round that composes nothing is the last but one."""
+        for _ in range(len(text) + 5):
+            new = unicodedata.normalize("NFC", self.once(text))
             if new == text:
                 break
             text = new
-        return unicodedata.normalize("NFC", text)
+        return text
 
     def key(self, text: str) -> str:
         """The form that equal-looking texts share, letter case and amount of blanks aside."""
@@ -144,21 +146,17 @@ class Rewriter:
 
 
 def count_points(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """How often each code point, and each base with its marks, stands in the columns."""
-    marked = re.compile(r"[^\W\d_][̀-ͯ]+")
+    """How often each code point stands in the columns: at most one row per code point of Unicode is gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for b in batches:
             for col in b.columns:
-                text = "\n".join(x for x in col.to_pylist() if x)
-                seen.update(text)
-                if "̀" <= max(text, default=""):
-                    seen.update(marked.findall(text))
+                seen.update("\n".join(x for x in col.to_pylist() if x))
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["p", "n"])
 
     rows = df.select(*columns).mapInArrow(run, "p string, n bigint").groupBy("p").agg(F.sum("n").alias("n"))
-    return {r["p"]: r["n"] for r in rows.filter(F.length("p") <= 8).toLocalIterator()}
+    return {r["p"]: r["n"] for r in rows.toLocalIterator()}
 
 
 def look_keys(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -189,6 +187,7 @@ def equal_looking_pairs(df: DataFrame, key: str, title: str, norm: str) -> DataF
     """
     rows = look_keys(df, key, [title, norm]).select(key, F.col(title).alias("t"), F.col(norm).alias("n"), F.coalesce(f"{title}_key", f"{norm}_key").alias("look"))
     rows = rows.filter("look <> ''").withColumn("v", F.xxhash64(F.coalesce("t", F.lit("\u0001")), F.coalesce("n", F.lit("\u0001"))))
+    rows = stash(rows, "looks-all")
     many = rows.groupBy("look").agg(F.min("v").alias("x"), F.max("v").alias("y")).filter("x <> y").select("look")
     rows = stash(rows.join(many, "look", "left_semi").distinct(), "looks")
     variants = rows.select("look", "v", "t", "n").distinct()

@@ -35,15 +35,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    articles = table(spark, d, "news_articles")
-    lines = site_lines.find_repeated(articles, "article_id", "source_id", "body_text")
-    return site_lines.occurrences(articles, "article_id", "source_id", "body_text", lines)
+    return site_lines.found_in(table(spark, d, "news_articles"), "article_id", "source_id", "collected_at", "body_text")
 
 
 def p6_cleaned(spark: SparkSession, d: str) -> DataFrame:
-    articles = table(spark, d, "news_articles")
-    lines = site_lines.find_repeated(articles, "article_id", "source_id", "body_text")
-    return site_lines.rebuild(articles, "article_id", "source_id", "body_text", lines)
+    return site_lines.cleaned(table(spark, d, "news_articles"), "article_id", "source_id", "collected_at", "body_text")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -126,21 +126,31 @@ def docs():
 
 
 def test_repeated_lines_and_cleaning(spark):
-    df = spark.createDataFrame(docs() + docs()[:3], "id string, source string, body string, line int")
-    lines = L.find_repeated(df, "id", "source", "body")
-    got = {tuple(r) for r in L.occurrences(df, "id", "source", "body", lines).collect()}
+    df = spark.createDataFrame(docs() + docs()[:3], "id string, source string, body string, line int").withColumn("at", F.make_date(F.lit(2026), F.col("line"), F.lit(1)).cast("timestamp"))
+    args = ("id", "source", "at", "body")
+    got = {tuple(r) for r in L.found_in(df, *args).collect()}
     assert got == {(f"d{k:02d}", 2) for k in range(0, 30, 4)}
-    clean = {r.id: r.body for r in L.rebuild(df, "id", "source", "body", lines).collect()}
-    assert set(clean) == {k for k, _ in got} and clean["d00"] == "Story aa itself\n"
-    assert L.find_repeated(df.filter("id = 'zz'"), "id", "source", "body").count() == 0
+    made = L.cleaned(df, *args).collect()
+    clean = {r.id: r.body for r in made}
+    assert len(made) == len(clean) and set(clean) == {k for k, _ in got} and clean["d00"] == "Story aa itself\n"
+    assert L.found_in(df.filter("id = 'zz'"), *args).count() == 0 and L.cleaned(df.filter("id = 'zz'"), *args).count() == 0
 
 
-def test_deltas_equal_one_count(spark):
+def test_deltas_equal_one_count(spark, tmp_path):
     df = spark.createDataFrame(docs(), "id string, source string, body string, line int")
+    make = lambda: L.LineIndex(spark, f"file://{tmp_path}/lines", "id", "source", "body")
     first, second = df.filter("id < 'd15'"), df.filter("id >= 'd15'")
-    before = L.count_lines(first, "id", "source", "body")
-    after = L.merge(before, L.count_lines(second, "id", "source", "body"))
-    whole = L.count_lines(df, "id", "source", "body")
-    assert sorted(map(tuple, after[0].collect())) == sorted(map(tuple, whole[0].collect()))
-    crossed = L.crossings(L.repeated(before, L.Rule()), L.repeated(after, L.Rule())).collect()
-    assert [r.now for r in crossed] == [True]
+    assert make().add(first).count() == 0
+    touched = {r[0] for r in make().add(second).collect()}
+    assert touched == {f"d{k:02d}" for k in range(0, 30, 4)}  # the old documents with the line that crossed, and the new ones
+    before = make()._state()
+    make().add(first)
+    state = make()._state()
+    for n in ("counts", "totals"):  # a batch that comes again counts nothing twice
+        assert sorted(map(tuple, spark.read.parquet(state[n]).collect())) == sorted(map(tuple, spark.read.parquet(before[n]).collect()))
+    whole = L.count_lines(L.lines_of(df, "id", "source", "body"))
+    assert sorted(map(tuple, spark.read.parquet(state["counts"]).select("src", "line", "n").collect())) == sorted(map(tuple, whole[0].collect()))
+    assert {tuple(r) for r in make().occurrences().collect()} == {(k, 2) for k in touched}
+    more = spark.createDataFrame([(f"n{k}", "s", f"quite other text {'x' * k}", 7) for k in range(200)], df.schema)
+    assert {r[0] for r in make().add(more).collect()} == touched  # now it is too rare: its documents get it back
+    assert make().repeated().count() == 0
