@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import text as X
-from newsloom.operators import extract
 from newsloom.plans.relational import _articles, _entities, _events, _links, first_of
 from newsloom.session import table
 
@@ -54,15 +53,6 @@ def c13_first_hit(spark: SparkSession, d: str) -> DataFrame:
     return hit.groupBy("id").agg(F.min_by("canonical_id", "pos").alias("canonical_id"), F.min("pos").alias("pos"))
 
 
-def d3_headline_entity(spark: SparkSession, d: str) -> DataFrame:
-    a = _articles(spark, d, "title")
-    return a.select("article_id", extract.headline_entity(F.col("title")).alias("entity"))
-
-
-def d4_looks_like_company(spark: SparkSession, d: str) -> DataFrame:
-    return _entities(spark, d).select("entity_name").distinct().select("entity_name", extract.looks_like_company(F.col("entity_name")).alias("is_company"))
-
-
 def e5_official(spark: SparkSession, d: str) -> DataFrame:
     j = _links(spark, d).join(_articles(spark, d, "source_id"), "article_id")
     return j.groupBy("event_id").agg(F.bool_or(F.col("source_id").endswith("_filings")).alias("has_official"))
@@ -169,8 +159,6 @@ ORACLE = {
       UNION SELECT DISTINCT 2, entity_name FROM event_entity_links WHERE entity_type='company' AND entity_name IS NOT NULL))) WHERE k = 1 AND key <> ''""",
     "c13_first_hit": f"""WITH i AS (SELECT {_LK.format(c='alias')} k, min(canonical_id) canonical_id FROM entity_aliases_v1 GROUP BY 1), t AS (SELECT id, 0 pos, {_LK.format(c="replace(entity_id,'_',' ')")} k FROM {_E} UNION ALL SELECT id, 1, {_LK.format(c='entity_name')} FROM {_E})
       SELECT id, arg_min(canonical_id, pos) canonical_id, min(pos) pos FROM t JOIN i USING (k) GROUP BY 1""",
-    "d3_headline_entity": f"SELECT DISTINCT article_id, {extract.headline_entity_sql('title')} entity FROM news_articles",
-    "d4_looks_like_company": f"SELECT DISTINCT entity_name, {extract.looks_like_company_sql('entity_name')} is_company FROM event_entity_links",
     "e5_official": f"SELECT event_id, bool_or(ends_with(source_id, '_filings')) has_official FROM {_L} JOIN {_A} USING (article_id) GROUP BY 1",
     "e20_run_totals": f"SELECT strftime(collected_at AT TIME ZONE 'UTC', '%Y-%m') AS \"month\", count(*) fetched, count(*) FILTER (k = 1)::BIGINT inserted FROM (SELECT *, row_number() OVER (PARTITION BY source_id, content_hash ORDER BY collected_at, article_id) k FROM {_A}) GROUP BY 1",
     "f6_timeline": f"SELECT entity_id, k::INT place, event_id FROM (SELECT entity_id, event_id, row_number() OVER (PARTITION BY entity_id ORDER BY last_seen_at DESC, event_id) k FROM (SELECT DISTINCT entity_id, event_id FROM event_entity_links WHERE entity_type='company') JOIN {_V} USING (event_id) WHERE last_seen_at IS NOT NULL) WHERE k <= 12",

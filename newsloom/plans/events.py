@@ -116,16 +116,34 @@ _SQ = r"trim(regexp_replace({c}, '[\s\pZ]+', ' ', 'g'))"
 _COMBO = "lower(concat_ws(' ', " + _SQ.format(c="title") + ", coalesce(" + _SQ.format(c="summary") + ", ''), source_id))"
 _FOCUS = "substr(trim(regexp_extract(" + _SQ.format(c="title") + ", '^([^。！？!?;；]*)', 1)), 1, 140)"
 _SKEL = r"trim(regexp_replace(regexp_replace(lower(" + _SQ.format(c="title") + r"), '[0-9]{1,4}(?:[./:-][0-9]{1,2})+', ' ', 'g'), '[^\pL\pN_]+', ' ', 'g'))"
-_STOP = ", ".join(f"'{w}'" for w in C.STOP_WORDS)
+_TELLING = f"list_filter(string_split(substr({_SKEL},1,400),' '), lambda w: length(w) > 1 AND NOT regexp_full_match(w, '[a-z]{{1,3}}'))"
 # the first of equal words is kept: its first position decides
-_SIG = f"array_to_string(list_filter(list_filter(string_split(substr({_SKEL},1,400),' '), lambda w: length(w) > 1 AND w NOT IN ({_STOP})), lambda w, i: list_position(list_filter(string_split(substr({_SKEL},1,400),' '), lambda v: length(v) > 1 AND v NOT IN ({_STOP})), w) = i)[1:4], '-')"
-_KIND, _ACTION = C.action_sql("combo")
+_SIG = f"array_to_string(list_sort(list_filter({_TELLING}, lambda w, i: list_position({_TELLING}, w) = i)[1:4]), '-')"
+# written out by hand and matched by a join: rank, event type, action, Latin words, Chinese parts
+_VOCABULARY = """
+  actions(rank, kind, "action", latin, han) AS (VALUES
+    (1, 'earnings_guidance', 'earnings', 'profit margin margins slips loss outlook', '利润 毛利率 营收'), (2, 'contract_order', 'order', 'wins bid bids tender tenders', '中标 招标 签下'),
+    (3, 'deal_mna', 'deal', 'venture stake joins spin', '合资 入股 加入 合作推进'), (4, 'production_supply', 'supply', 'expand restart delays complete output phase', '重启 扩建 推迟 完工 落地'),
+    (5, 'regulation', 'regulation', 'clears fines fined inquiry recall permit', '罚款 核查 召回 许可'), (6, 'policy', 'policy', 'ministry council authority board monetary', '能源部 货币署 管理局 港务局'),
+    (7, 'financing_capital', 'financing', 'loan credit lenders notes', '授信 债券 贷款'), (8, 'company_action', 'capital_return', 'dividend payout', '分红 股份回购'),
+    (9, 'commodity_disruption', 'commodity', 'ore grain resin fuel', '矿石 粮食 树脂'), (10, 'macro_data', 'macro_release', 'statistics census survey', '统计局 调查'),
+    (11, 'macro_data', 'macro_move', 'rates currency wages', '汇率 利率 工资'), (12, 'social_signal', 'signal', 'hearsay lol psa', '听说 据说')),
+  sectors(rank, label, latin, han) AS (VALUES (1,'航空业','airlines','航空'),(2,'银行业','bank','银行'),(3,'电池','batteries','电池'),(4,'化学品','chemicals','化工'),(5,'能源电力','energy','能源'),(6,'食品饮料','foods','食品'),
+    (7,'软件服务','games','游戏'),(8,'保险业','insurance','保险'),(9,'交通运输','logistics','物流'),(10,'矿产','mining','矿业'),(11,'汽车','motors','汽车'),(12,'光学','optics','光学'),(13,'造纸','paper','纸业'),(14,'医药','pharma','制药'),
+    (15,'零售业','retail','零售'),(16,'机器人','robotics','机器人'),(17,'证券业','securities','证券'),(18,'芯片','semiconductor','半导体'),(19,'交通运输','shipping','航运'),(20,'软件服务','software','软件'),(21,'钢铁','steel','钢铁'),
+    (22,'通信网','telecom','通信'),(23,'纺织','textiles','纺织'),(24,'水务','water','水务')),
+  themes(rank, label, latin, han) AS (VALUES (1,'credit','lending loan loans bank','信贷 贷款'),(2,'weather','rains rain drought warmer','天气 水位'),(3,'trade','tariff export customs','关税 出口'),
+    (4,'wages','wage wages pension','工资 养老金'),(5,'ports','ports port harbour','港口 港务'),(6,'raw materials','ore scrap grain','矿石 废料 粮食')),"""
+_HIT = r"(list_has_any(string_split(trim(regexp_replace({t}, '[^\pL\pN]+', ' ', 'g')), ' '), string_split(latin, ' ')) OR len(list_filter(string_split(han, ' '), lambda h: contains({t}, h))) > 0)"
 _FAM = "coalesce(nullif(trim(source_family), ''), 'source:'||source_id)"
-_CLASS = f"""SELECT article_id, title, collected_at, lane, trust_tier, {_FAM} fam,
-  coalesce({_KIND}, CASE WHEN lane='signal' THEN 'social_signal' WHEN coverage_scope='company' THEN 'company_action' ELSE 'macro_data' END) kind,
-  coalesce({_ACTION}, CASE WHEN lane='signal' THEN 'signal' ELSE 'general_update' END) "action",
-  {C.label_sql(_FOCUS, C.INDUSTRIES)} industry, {C.label_sql(_FOCUS, C.THEMES)} theme
-  FROM (SELECT *, {_COMBO} combo FROM {_A} JOIN source_registry USING (source_id))"""
+_CLASS = f"""WITH {_VOCABULARY}
+  texts AS (SELECT *, {_COMBO} combo, lower({_FOCUS}) foc FROM {_A} JOIN source_registry USING (source_id)),
+  by_action AS (SELECT article_id, arg_min(actions.kind, rank) k, arg_min(actions."action", rank) a FROM texts JOIN actions ON {_HIT.format(t="combo")} GROUP BY 1),
+  by_sector AS (SELECT article_id, arg_min(label, rank) industry FROM texts JOIN sectors ON {_HIT.format(t="foc")} GROUP BY 1),
+  by_theme AS (SELECT article_id, arg_min(label, rank) theme FROM texts JOIN themes ON {_HIT.format(t="foc")} GROUP BY 1)
+  SELECT article_id, title, collected_at, lane, trust_tier, {_FAM} fam, coalesce(k, CASE WHEN lane='signal' THEN 'social_signal' WHEN coverage_scope='company' THEN 'company_action' ELSE 'macro_data' END) kind,
+  coalesce(a, CASE WHEN lane='signal' THEN 'signal' ELSE 'general_update' END) "action", industry, theme
+  FROM texts LEFT JOIN by_action USING (article_id) LEFT JOIN by_sector USING (article_id) LEFT JOIN by_theme USING (article_id)"""
 _ENT = r"""SELECT a.article_id, arg_min(canonical_id, (-length(trim(p)), canonical_id)) entity
   FROM (SELECT DISTINCT article_id, ' '||trim(regexp_replace(lower(title), '[^\pL\pN]+', ' ', 'g'))||' ' t FROM news_articles) a
   LEFT JOIN (SELECT DISTINCT canonical_id, CASE WHEN regexp_matches(q, '[\x{4e00}-\x{9fff}]') THEN q ELSE ' '||q||' ' END p

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.plans import catalogue, cleaning, data_quality, events, feeds, relational, streams
+from newsloom.plans import catalogue, cleaning, data_quality, entities, events, feeds, relational, streams
 
-MODULES = [data_quality, cleaning, relational, events, feeds, catalogue, streams]
+MODULES = [data_quality, cleaning, relational, events, entities, feeds, catalogue, streams]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
