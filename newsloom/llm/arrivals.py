@@ -7,7 +7,7 @@ batch is merged as one sorted run into the persisted key ranges, and only window
   found when its key is kept already, or when it is not the first of its batch with it.  The first record comes from
   a map-side combined minimum and the rest by an anti join on the record's own id, so a key that holds a third of
   all rows is never gathered.
-* Text: ``keys`` sort keys, each of two minhashes; a range is (source, key number, the two minhashes), and within a
+* Text: ``keys`` sort keys, each of three minhashes; a range is (source, key number, the three minhashes), and within a
   range records stand by time.  Only the first record of each (source, shingle set) takes part: later copies are found as
   such.  A new record is compared with the ``window`` records before it in each of its ranges; of those whose 128-bit sketches agree enough,
   the ``best`` nearest are verified on the full shingle sets.
@@ -15,8 +15,8 @@ batch is merged as one sorted run into the persisted key ranges, and only window
   it is compared with all earlier records of those ranges, which are spread over ``SLICES`` tasks each.  So windows
   only save work, and nothing is lost by crowding.
 
-A pair of similarity 0.56 falls into one range for at least one of the 16 keys with probability 0.998 (0.6: 0.9992),
-whatever the size of the range, and its sketches agree enough with 0.9996.
+A pair of similarity 0.56 falls into one range for at least one of the 24 keys with probability 0.990 (0.6: 0.997, 0.7: 0.99995),
+whatever the size of the range, and its sketches agree enough with 0.9996.  A record with several earlier partners has as many chances.
 
 Kept under ``path``, a folder all executors share: a manifest (``operators.state.Manifest``) names the runs, so a new
 ``ArrivalIndex`` on the same path goes on where the last one stopped.  A run holds key rows in parts by source, sorted by range within
@@ -53,7 +53,9 @@ _CHUNK = 2_000_000
 class Neighbourhood:
     width: int = 5
     threshold: float = 0.8
-    keys: int = 16
+    keys: int = 24
+    #: Minhashes of a key: more of them make ranges of texts that share little rarer.
+    depth: int = 3
     window: int = 2048
     #: Near records of one range that are verified first.
     best: int = 3
@@ -82,16 +84,19 @@ def features(df: DataFrame, key: str, source: str, at: str, hash_col: str, url_c
     rows = spread(df.select(*head, *[F.col(c).alias(f"_t{i}") for i, c in enumerate(texts)]))
     cols = [f"_t{i}" for i in range(len(texts))]
     names = [c for c in rows.columns if c not in cols]
-    width, n_keys = nb.width, nb.keys
+    width, n_keys, depth = nb.width, nb.keys, nb.depth
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             values, offsets = S.shingle_sets(S.joined_texts(b, cols), width)
-            sig = S.minhashes(values, offsets, S.N_MINHASH)
+            sig = S.minhashes(values, offsets, max(S.N_MINHASH, n_keys * depth))
             data = [b.column(c) for c in names]
             data += [pa.array(S.signed(S.set_ids(values, offsets)), mask=np.diff(offsets) == 0), *(pa.array(S.signed(w)) for w in S.sketches(sig, 128))]
             for k in range(n_keys):
-                data.append(pa.array(S.signed((sig[2 * k].astype(np.uint64) << np.uint64(32)) | sig[2 * k + 1])))
+                one = np.zeros(len(offsets) - 1, np.uint64)
+                for i in range(depth):
+                    one = S.mix(one * np.uint64(5) + sig[depth * k + i].astype(np.uint64))
+                data.append(pa.array(S.signed(one)))
             yield pa.RecordBatch.from_arrays([*data, S.sets_column(values, offsets)], names=[*names, "cid", "sk0", "sk1", *(f"k{k}" for k in range(n_keys)), "sh"])
 
     longs = [T.StructField(c, T.LongType()) for c in ("cid", "sk0", "sk1", *(f"k{k}" for k in range(n_keys)))]
@@ -99,7 +104,7 @@ def features(df: DataFrame, key: str, source: str, at: str, hash_col: str, url_c
 
 
 def _near_before(nb: Neighbourhood):
-    """Over rows sorted by (range, time): for each fresh row the ``best`` nearest of the ``window`` before it as (a, b), and
+    """Over rows sorted by (range, time): for each fresh row the ``best`` nearest of the ``window`` before it (and all of its own time) as (a, b), and
     (b, rng) where more are near or stand before the window."""
     differ, window, best = 128 - nb.agree, nb.window, nb.best
 
@@ -108,7 +113,7 @@ def _near_before(nb: Neighbourhood):
         return pa.RecordBatch.from_arrays([left, pa.array(b), pa.nulls(len(b), pa.int64()) if rng is None else pa.array(rng)], names=["a", "b", "rng"])
 
     def compare(rows: np.ndarray, depth: np.ndarray, cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rng, sk0, sk1, rid = cols[:4]
+        rng, sk0, sk1, rid, _, t = cols
         n = np.minimum(depth, window)
         late = np.repeat(rows, n)
         early = np.repeat(rows - n, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -119,7 +124,7 @@ def _near_before(nb: Neighbourhood):
         early, late = early[order], late[order]
         first = np.maximum.accumulate(np.where(np.concatenate(([True], late[1:] != late[:-1])), np.arange(len(late)), 0)) if len(late) else late
         rank = np.arange(len(late)) - first
-        few = rank < best
+        few = (rank < best) | (t[early] == t[late])  # of one time either may be the later one
         if few.any():
             yield emit(rid[early[few]], rid[late[few]])
         more = np.union1d(np.unique(late[rank >= best]), rows[depth > window])
@@ -131,7 +136,7 @@ def _near_before(nb: Neighbourhood):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [np.asarray(batch.column(i)) for i in range(5)]
+            new = [np.asarray(batch.column(i)) for i in range(6)]
             was = len(tail[0]) if tail else 0
             cols = [np.concatenate(c) for c in zip(tail, new)] if tail else new
             rng, fresh = cols[0], cols[4]
@@ -189,12 +194,10 @@ class ArrivalIndex:
     def __init__(self, spark: SparkSession, path: str, key: str, source: str, at: str, hash_col: str, url_col: str, texts: list[str], nb: Neighbourhood, parts: int = 8, compact_after: int = 8):
         self.spark, self.path = spark, path.rstrip("/")
         self.key, self.names, self.nb, self.parts, self.compact_after = key, (key, source, at, hash_col, url_col, texts), nb, parts, compact_after
-        self.manifest, self._kind = Manifest(spark, f"{self.path}/manifest"), "string"
+        self.manifest = Manifest(spark, f"{self.path}/manifest")
 
     def _state(self) -> dict:
-        state = self.manifest.read() or {"keys": [], "exact": [], "sets": [], "last": None, "kind": self._kind}
-        self._kind = state["kind"]
-        return state
+        return self.manifest.read() or {"keys": [], "exact": [], "sets": [], "last": None}
 
     def _new(self, name: str) -> str:
         return f"{self.path}/{name}/run={uuid.uuid4().hex[:12]}"
@@ -207,10 +210,10 @@ class ArrivalIndex:
 
     def keys_in(self, paths: list[str]) -> DataFrame | None:
         """The key rows of these runs."""
-        columns = f"rng long, sk0 long, sk1 long, rid long, t long, id {self._kind}, part int"
+        columns = "rng long, sk0 long, sk1 long, rid long, t long, part int"
         if not paths:
             return None
-        return self.spark.read.option("basePath", f"{self.path}/keys").schema(columns).parquet(*paths).select("rng", "sk0", "sk1", "rid", "t", "id", "part")
+        return self.spark.read.option("basePath", f"{self.path}/keys").schema(columns).parquet(*paths).select("rng", "sk0", "sk1", "rid", "t", "part")
 
     def kept_keys(self, state: dict, parts: list[int]) -> DataFrame | None:
         """The kept key rows of some parts."""
@@ -226,71 +229,72 @@ class ArrivalIndex:
     def add_features(self, paths: list[str]) -> DataFrame:
         """The ids found in a batch whose features (one row an id) lie in these folders, where they stay."""
         feats, state = self.spark.read.parquet(*paths), self._state()
-        self._kind = feats.schema["id"].dataType.simpleString()
-        bounds = feats.agg(F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi"), F.collect_set(self._part(F.col("src"))).alias("parts")).first()
+        bounds = feats.agg(F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi"), F.collect_set(self._part(F.col("src"))).alias("parts"), F.count("*").alias("n")).first()
         if bounds["lo"] is None:
             return feats.select(F.col("id").alias(self.key))
         lo, hi = ([bounds[c]["t"], bounds[c]["id"]] for c in ("lo", "hi"))
         if state["last"] is not None and lo <= state["last"]:
             raise ValueError(f"the batch begins at {lo}, before the end of what is kept, {state['last']}")
-        found, new = self._by_exact_keys(feats, state)
+        found, new = self._by_exact_keys(feats, state, bounds["n"])
         reps = feats.drop("sh", "h", "u").filter("cid is not null and src is not null").join(new.filter("kind = 2").select("id"), "id", "left_semi").dropDuplicates(["id"])
         ranges = F.array(*[F.xxhash64("src", F.lit(k), f"k{k}") for k in range(self.nb.keys)])
-        rows = reps.select(F.explode(ranges).alias("rng"), "sk0", "sk1", "rid", "t", "id", self._part(F.col("src")).alias("part"))
+        rows = reps.select(F.explode(ranges).alias("rng"), "sk0", "sk1", "rid", "t", self._part(F.col("src")).alias("part"))
         run = {"keys": self._new("keys"), "exact": self._new("exact")}
         rows.sortWithinPartitions("part", "rng", "t").write.partitionBy("part").parquet(run["keys"])
         new.select("mark").write.parquet(run["exact"])
-        now = {**{k: [*state[k], run[k]] for k in run}, "sets": [*state["sets"], *paths], "last": hi, "kind": self._kind}
-        by_text = self._by_text(found, run["keys"], state, now, bounds["parts"])
+        now = {**{k: [*state[k], run[k]] for k in run}, "sets": [*state["sets"], *paths], "last": hi}
+        by_text = self._by_text(feats.select("rid", "t", "id"), found, run["keys"], state, now, bounds)
         out = stash(found.unionByName(by_text).distinct().withColumnRenamed("id", self.key), "found")
         self.manifest.write(now)
         if len(now["keys"]) >= self.compact_after:
             self.compact()
         return out
 
-    def _by_exact_keys(self, feats: DataFrame, state: dict) -> tuple[DataFrame, DataFrame]:
+    def _by_exact_keys(self, feats: DataFrame, state: dict, n: int) -> tuple[DataFrame, DataFrame]:
         """(ids of the records with a key that is kept or is not theirs first; id, kind, mark of the keys that are new)."""
         kinds = F.array(*[F.struct(F.lit(i).alias("kind"), mark.alias("mark")) for i, mark in enumerate([F.col("h"), F.col("u"), F.when(F.col("src").isNotNull() & F.col("cid").isNotNull(), F.xxhash64("src", "cid"))])])
         rows = feats.select("id", "t", F.explode(kinds).alias("k")).select("id", "t", "k.kind", "k.mark").filter("mark is not null")
         first = rows.groupBy("kind", "mark").agg(F.min(F.struct("t", "id")).alias("f")).select("kind", "mark", "f.id")
         kept = self._read(state["exact"], "mark long")
         if kept is not None:
-            first = first.join(ND.perhaps_in(kept, first, "mark"), "mark", "left_anti")
+            first = first.join(ND.perhaps_in(kept, first, "mark", 3 * n), "mark", "left_anti")
         first = stash(first, "firsts")
         return rows.select("id", "kind").join(first.select("id", "kind"), ["id", "kind"], "left_anti").select("id").distinct(), first
 
-    def _by_text(self, done: DataFrame, run: str, state: dict, now: dict, parts: list[int]) -> DataFrame:
+    def _by_text(self, feats: DataFrame, done: DataFrame, run: str, state: dict, now: dict, bounds) -> DataFrame:
         """Ids found by text; for those that are ``done`` already the search may end early."""
         plan = ND.Plan(width=self.nb.width, threshold=self.nb.threshold)
         fresh = self.keys_in([run])
         rows = fresh.withColumn("fresh", F.lit(1))
-        kept = self.kept_keys(state, [p for p in parts if p is not None])
+        kept = self.kept_keys(state, bounds["parts"])
         if kept is not None:
-            rows = rows.unionByName(ND.perhaps_in(kept, fresh, "rng").withColumn("fresh", F.lit(0)))
-        columns = ["rng", "sk0", "sk1", "rid", "fresh"]
-        ordered = rows.repartition("rng").sortWithinPartitions("rng", "t", "id").select(*columns)
+            rows = rows.unionByName(ND.perhaps_in(kept, fresh, "rng", bounds["n"] * self.nb.keys).withColumn("fresh", F.lit(0)))
+        ordered = rows.select("rng", "sk0", "sk1", "rid", "fresh", "t").repartition("rng").sortWithinPartitions("rng", "t")
         met = stash(ordered.mapInArrow(_near_before(self.nb), "a bigint, b bigint, rng bigint"), "neighbours")
-        names = fresh.select("rid", "id").distinct()
+        names = feats.select("rid", "t", "id").distinct()
 
         def named(pairs: DataFrame) -> DataFrame:
+            """The later of each similar pair, by (time, id); a record that is not of this batch is the earlier one."""
             sets = lambda ids: ND.perhaps_in(self._read(now["sets"], "rid long, sh array<int>"), ids)
             same = ND.verified(pairs.filter("a <> b").distinct(), sets, plan)
-            return names.join(same.select(F.col("b").alias("rid")).distinct(), "rid", "left_semi").select("id")
+            place = names.select("rid", F.struct("t", "id").alias("o"))
+            both = same.join(place.select(F.col("rid").alias("b"), F.col("o").alias("y")), "b", "left").join(place.select(F.col("rid").alias("a"), F.col("o").alias("x")), "a", "left")
+            return both.select(F.greatest("x", "y")["id"].alias("id")).distinct()
 
         found = named(met.filter("a is not null").select("a", "b"))
         more = met.filter("rng is not null").select(F.col("b").alias("rid"), "rng").distinct()
         if more.isEmpty():
             return found
         found = stash(found, "found")
-        settled = found.unionByName(done).join(names, "id").select("rid")
+        settled = names.join(found.unionByName(done), "id").select("rid")
         sought = stash(more.join(settled, "rid", "left_anti"), "sought")
         if sought.isEmpty():
             return found
         here = rows.join(sought.select("rng").distinct(), "rng", "left_semi").join(sought.withColumn("sought", F.lit(1)), ["rng", "rid"], "left")
         mine = F.pmod(F.col("rid"), F.lit(SLICES)).cast("int")
         wide = here.withColumn("slice", F.explode(F.when(F.col("sought") == 1, F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(F.array(mine))))
-        wide = wide.select(F.xxhash64("rng", "slice").alias("rng"), "sk0", "sk1", "rid", F.coalesce("sought", F.lit(0)).alias("sought"), (F.col("slice") == mine).cast("int").alias("own"), "t", "id")
-        ordered = wide.repartition("rng").sortWithinPartitions("rng", "t", "id").select("rng", "sk0", "sk1", "rid", "sought", "own")
+        wide = wide.select(F.xxhash64("rng", "slice").alias("rng"), "sk0", "sk1", "rid", F.coalesce("sought", F.lit(0)).alias("sought"), (F.col("slice") == mine).cast("int").alias("own"), "t")
+        ordered = wide.repartition("rng").sortWithinPartitions("rng", "t").select("rng", "sk0", "sk1", "rid", "sought", "own")
         return found.unionByName(named(ordered.mapInArrow(_all_before(self.nb), "a bigint, b bigint")))
 
     def compact(self) -> None:

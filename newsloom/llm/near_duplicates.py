@@ -84,15 +84,21 @@ def signatures(df: DataFrame, key: str, texts: list[str], plan: Plan, keep: list
     return rows.mapInArrow(run, schema)
 
 
-FILTER_BITS = 25  # a filter of 2**25 bits is 4 MB, whatever the number of records
+FILTER_BITS = 25  # a filter has at most 2**25 bits (4 MB), whatever the number of records
 
 
-def perhaps_in(rows: DataFrame, wanted: DataFrame, rid: str = "rid") -> DataFrame:
-    """The rows whose id may be among the wanted ones: a one-hash Bloom filter of fixed size (``FILTER_BITS``) in parts
-    of 4 KB, broadcast because its size has a bound.  It lets some others through and never drops a wanted row."""
-    bit = F.pmod(F.xxhash64(rid), F.lit(1 << FILTER_BITS))
+def perhaps_in(rows: DataFrame, wanted: DataFrame, rid: str = "rid", n: int | None = None) -> DataFrame:
+    """The rows whose id may be among the wanted ones: a one-hash Bloom filter in parts of 4 KB, broadcast because its size has
+    a bound.  It lets some others through and never drops a wanted row.
+
+    It has 32 bits for each of ``n`` wanted ids (counted where not given; more may come, at the price of more that
+    pass), up to ``FILTER_BITS``.  Positions go to their part before bits are set, so the shuffle is that of the ids."""
+    n = wanted.count() if n is None else n
+    bits = min(FILTER_BITS, max(15, (32 * n).bit_length()))
+    bit = F.pmod(F.xxhash64(rid), F.lit(1 << bits))
     place = F.struct(F.shiftright(bit, 15).alias("_part"), bit.bitwiseAND(F.lit(32767)).alias("pos"))
-    parts = wanted.select(place.alias("p")).groupBy("p._part").agg(F.bitmap_construct_agg("p.pos").alias("_bits"))
+    spots = wanted.select(place.alias("p")).select("p._part", "p.pos").repartition("_part")
+    parts = spots.groupBy("_part").agg(F.bitmap_construct_agg("pos").alias("_bits"))
     marked = rows.withColumn("_p", place).withColumn("_part", F.col("_p._part")).join(F.broadcast(parts), "_part")
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(_p.pos div 8 + 1 as int), 1)")), 16, 10).cast("int")
     return marked.filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(_p.pos % 8 as int))")) != 0).drop("_p", "_part", "_bits")

@@ -78,7 +78,6 @@ def test_index_over_batches_equals_bulk(spark, tmp_path):
         index.add(spark.createDataFrame(data[:5], SCHEMA))
     assert make()._state() == state and make().add(spark.createDataFrame([], SCHEMA)).count() == 0
     # a batch of one source looks only at the parts of that source, and there only at its ranges
-    index._kind = "string"
     every = index.kept_keys(state, [0, 1, 2, 3])
     one = spark.createDataFrame([("s2",)], "s string").select(F.pmod(F.xxhash64("s"), F.lit(4)).alias("p")).first().p
     part = index.kept_keys(state, [one])
