@@ -191,3 +191,35 @@ def unnormalised(articles: DataFrame, clock: DataFrame) -> DataFrame:
     """article_id, published_utc, quality of the articles whose published_at is neither null nor canonical."""
     rough = articles.filter(F.col("published_at").isNotNull() & ~F.col("published_at").rlike(CANONICAL))
     return normalise_published(rough, clock).select("article_id", "published_utc", "quality")
+
+
+def field_times(df: DataFrame, date: Column, time: Column, tz: str, noon: bool = True) -> DataFrame:
+    """df with ``sec``, epoch seconds of a date and a time of day that stand in two fields, in zone ``tz``, and ``dated``.
+
+    The time may be missing or already be within the date field; a bare date is noon (or midnight) and ``dated``.  What cannot
+    be read gives null seconds.  Each step is a column of its own, so that no long expression is repeated in another."""
+    day, hour = F.coalesce(blanks_off(date), F.lit("")), F.coalesce(blanks_off(time), F.lit(""))
+    out = df.withColumn("_both", F.trim(F.concat_ws(" ", day, hour))).withColumn("_parts", take_apart(F.col("_both")))
+    parts = F.col("_parts")
+    out = out.withColumn("_sec", put_together(parts, F.lit(0).cast("timestamp"), F.lit(tz), F.lit(True)))
+    bare = F.coalesce(~parts[0].startswith("epoch") & (parts[4] == ""), F.lit(False))
+    readable = parts[0].isNotNull() & ~parts[0].isin("ago", "day")
+    out = out.withColumn("dated", bare).withColumn("sec", F.when(readable, F.col("_sec") + F.when(bare & F.lit(noon), 43_200).otherwise(0)))
+    return out.drop("_both", "_parts", "_sec")
+
+
+def recent_month_day(df: DataFrame, text: Column, now: Column, tz: str) -> DataFrame:
+    """df with ``sec``, epoch seconds of ``MM-dd``, ``MM-dd HH:mm`` or a day named relatively with ``HH:mm``, as pages write recent times.
+
+    The year is that of ``now`` in zone ``tz``, or the one before where the date would lie more than two days ahead."""
+    pattern = r"^(\d{1,2})[-/.月](\d{1,2})日?(?:\s+(\d{1,2}):(\d{2}))?\z"
+    out = df.withColumn("_t", blanks_off(text)).withColumn("_local", F.from_utc_timestamp(now, tz)).withColumn("_parts", take_apart(F.col("_t")))
+    two = lambda i: F.lpad(F.coalesce(F.nullif(F.regexp_extract("_t", pattern, i), F.lit("")), F.lit("0")), 2, "0")
+    out = out.withColumn("_rest", F.concat(F.lit("-"), two(1), F.lit("-"), two(2), F.lit(" "), two(3), F.lit(":"), two(4)))
+    for name, back in (("_this", 0), ("_before", 1)):
+        out = out.withColumn(name, F.try_to_timestamp(F.concat((F.year("_local") - back).cast("string"), F.col("_rest")), F.lit("yyyy-MM-dd HH:mm")))
+    chosen = F.when(F.col("_this") > F.col("_local") + F.expr("INTERVAL 2 DAYS"), F.col("_before")).otherwise(F.coalesce("_this", "_before"))
+    named = F.when(F.col("_parts")[0].isin("day", "ago"), put_together(F.col("_parts"), now, F.lit(tz), F.lit(True)))
+    out = out.withColumn("_named", named)
+    out = out.withColumn("sec", F.when(F.col("_t").rlike(pattern), F.unix_seconds(F.to_utc_timestamp(chosen, tz))).otherwise(F.col("_named")))
+    return out.drop("_t", "_local", "_parts", "_rest", "_this", "_before", "_named")

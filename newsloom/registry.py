@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.plans import catalogue, cleaning, data_quality, entities, events, feeds, relational, streams, views
+from newsloom.plans import catalogue, cleaning, data_quality, entities, events, feeds, posts, relational, streams, views
 
-MODULES = [data_quality, cleaning, relational, events, entities, feeds, catalogue, views, streams]
+MODULES = [data_quality, cleaning, relational, events, entities, feeds, posts, catalogue, views, streams]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -40,6 +40,8 @@ class JsonFeed:
     #: Keys whose truth drops a record, and (key, least) pairs of which one must hold.
     drop_if: tuple[str, ...] = ()
     any_least: tuple[tuple[str, int], ...] = field(default=())
+    #: Where the records are if the first place has none.
+    also: tuple[str, ...] = ()
 
 
 # Layouts of the JSON feeds that are read.
@@ -48,7 +50,7 @@ FEEDS = {
     "cninfo": JsonFeed("$.announcements", ("shortTitle", "announcementTitle"), ("adjunctUrl",), (), ("announcementTime",), "https://static.cninfo.com.cn/", ("secName",)),
     "marketaux": JsonFeed("$.data", ("title",), ("url", "article_url"), ("description", "snippet", "summary"), ("published_at", "published", "updated_at"), publisher=("source.name", "source.title", "source")),
     "mediastack": JsonFeed("$.data", ("title",), ("url",), ("description",), ("published_at", "published", "date"), publisher=("source",)),
-    "serpstack": JsonFeed("$.news_results", ("title",), ("url", "link"), ("snippet", "description"), ("date", "published_at")),
+    "serpstack": JsonFeed("$.news_results", ("title",), ("url", "link"), ("snippet", "description"), ("date", "published_at"), also=("$.organic_results",)),
     "reddit": JsonFeed("$.data.children", ("data.title",), ("data.permalink",), ("data.selftext",), ("data.created_utc",), "https://www.reddit.com", drop_if=("data.stickied",), any_least=(("data.ups", 5), ("data.num_comments", 3))),
     "hkex": JsonFeed("$.result", ("TITLE",), ("FILE_LINK",), ("SHORT_TEXT", "LONG_TEXT"), ("DATE_TIME",), "https://www1.hkexnews.hk", ("STOCK_NAME",), tz="Asia/Hong_Kong"),
 }
@@ -78,6 +80,8 @@ def json_items(df: DataFrame, payload: str, feed: JsonFeed, keep: list[str], col
     """Items of JSON (or JSONP) payloads; a record list given as JSON text inside the JSON is read too."""
     v = F.try_parse_json(unwrap_jsonp(F.col(payload)))
     listed = F.coalesce(F.try_variant_get(v, feed.path, "array<variant>"), F.try_variant_get(F.try_parse_json(F.try_variant_get(v, feed.path, "string")), "$", "array<variant>"))
+    for path in feed.also:
+        listed = F.when(F.coalesce(F.size(listed), F.lit(0)) > 0, listed).otherwise(F.try_variant_get(v, path, "array<variant>"))
     rows = df.select(*keep, F.col(collected_at).alias("_c"), F.posexplode(listed).alias("pos", "r"))
     r = F.col("r")
     for k in feed.drop_if:
@@ -116,13 +120,14 @@ def xml_items(df: DataFrame, payload: str, kind: str, keep: list[str], collected
 
 
 def feed_errors(payload: Column) -> Column:
-    """Why an XML payload cannot be a feed, or null."""
-    t = F.lower(F.substring(F.trim(payload), 1, 200))
+    """Why an XML payload cannot be a feed, or null: empty, html_page, not_xml or malformed (the XML parser's own verdict)."""
+    t = F.lower(F.substring(F.ltrim(payload), 1, 20))
+    bad = F.from_xml(payload, "_bad string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})["_bad"]
     return (
         F.when(payload.isNull() | (F.trim(payload) == ""), "empty")
         .when(t.startswith("<!doctype html") | t.startswith("<html"), "html_page")
         .when(~t.startswith("<"), "not_xml")
-        .when(~F.rtrim(payload).endswith(">"), "cut_off")
+        .when(bad.isNotNull(), "malformed")
     )
 
 

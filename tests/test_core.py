@@ -114,7 +114,7 @@ def test_feed_guard_and_bad_payloads(spark):
     rows = ["", None, "<!DOCTYPE html><html>", "plain", "<rss><channel>", '<rss><channel><item><title>A &amp; B</title><guid>https://x.example/1</guid><pubDate>Tue, 06 Jan 2026 10:00:00 GMT</pubDate></item><item><title></title></item></channel></rss>']
     at = dt.datetime(2026, 1, 7, tzinfo=dt.timezone.utc)
     df = spark.createDataFrame([(i, p, at) for i, p in enumerate(rows)], "id int, p string, at timestamp")
-    assert [r[0] for r in df.orderBy("id").select(feeds.feed_errors(F.col("p"))).collect()] == ["empty", "empty", "html_page", "not_xml", None, None]
+    assert [r[0] for r in df.orderBy("id").select(feeds.feed_errors(F.col("p"))).collect()] == ["empty", "empty", "html_page", "not_xml", "malformed", None]
     got = feeds.xml_items(df, "p", "rss", ["id"], "at").collect()
     assert [(r.id, r.title, r.url, r.published_at) for r in got] == [(5, "A & B", "https://x.example/1", "2026-01-06T10:00:00+00:00")]
     js = [json.dumps({"data": [{"title": "T", "url": "https://x.example/1", "source": {"name": "Pub"}}, {"title": "no url"}, 5]}), "nonsense", "[]", None]
