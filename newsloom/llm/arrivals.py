@@ -311,7 +311,7 @@ class ArrivalIndex:
         self.manifest.write({**state, **now})
 
 
-def found_in(df: DataFrame, key: str, source: str, at: str, hash_col: str, url_col: str, texts: list[str], nb: Neighbourhood, period: str = "quarter", **index) -> DataFrame:
+def found_in(df: DataFrame, key: str, source: str, at: str, hash_col: str, url_col: str, texts: list[str], nb: Neighbourhood, period: str = "year", **index) -> DataFrame:
     """Ids of the records that repeat an earlier one of their source by hash, page or text: the history goes through an
     index in batches, one a calendar ``period``; features are made once for all."""
     spark, path = df.sparkSession, stash_path(df.sparkSession, "arrivals")
