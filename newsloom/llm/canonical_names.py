@@ -253,6 +253,17 @@ class Matcher:
         return [(z, owners)] if owners else []
 
 
+_matchers: dict[int, Matcher] = {}
+
+
+def matcher_for(name: int, shared) -> Matcher:
+    """The matcher of a broadcast list: one a worker process, not one a task."""
+    if name not in _matchers:
+        _matchers.clear()
+        _matchers[name] = Matcher(shared.value)
+    return _matchers[name]
+
+
 def map_names(df: DataFrame, key: str, name: str, reference: DataFrame, entry: str, spellings: list[str]) -> DataFrame:
     """key, canonical_id (or ``unmatched``) of every row of ``df``."""
     both = None
@@ -262,11 +273,12 @@ def map_names(df: DataFrame, key: str, name: str, reference: DataFrame, entry: s
     listed = [(r["e"], r["s"]) for r in both.distinct().limit(MAX_SPELLINGS + 1).collect()]
     if len(listed) > MAX_SPELLINGS:
         raise ValueError(f"the reference list has more than {MAX_SPELLINGS} spellings")
-    shared = df.sparkSession.sparkContext.broadcast(sorted(listed))
+    listed.sort()
+    shared, name_of = df.sparkSession.sparkContext.broadcast(listed), hash(tuple(listed))
     rows = df.select(key, F.col(name).alias("_name"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value)
+        matcher = matcher_for(name_of, shared)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([matcher.match(x) for x in b.column(1).to_pylist()], pa.string())], names=[key, "canonical_id"])
 
