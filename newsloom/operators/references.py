@@ -85,5 +85,22 @@ def broken_references(parents: list[Parent], references: list[Reference]) -> Dat
 
 
 def broken_by_period(parents: list[Parent], references: list[Reference]) -> DataFrame:
-    """Counts of broken references by table, field, status and month."""
-    return broken_references(parents, references).groupBy("table_name", "field_name", "status", "period").agg(F.count("*").alias("n_refs"))
+    """Counts of broken references by table, field, status and month.
+
+    Missing ones are summed inside the groups: children are counted by key and month before they meet their parent rows, and the counts of groups
+    without a parent are added up, so no reference is joined back.  Only references to parents that come too late need their own time, and are joined
+    with those few parents."""
+    kids = _children(references).distinct()
+    month = F.date_format("time", "yyyy-MM")
+    counted = kids.groupBy("parent", "key", "table_name", "field_name", month.alias("period")).agg(F.count("*").alias("n"))
+    tagged = counted.select("parent", "key", F.lit(False).alias("is_parent"), F.struct("table_name", "field_name", "period", "n").alias("c"))
+    for p in parents:
+        keys = p.rows.filter(F.col(p.key).isNotNull()).select(F.lit(p.name).alias("parent"), bare_key(F.col(p.key)).alias("key")).distinct()
+        tagged = tagged.unionByName(keys.select("parent", "key", F.lit(True).alias("is_parent"), F.lit(None).cast(tagged.schema["c"].dataType).alias("c")))
+    # a group has at most one row a table, field and month, and one of its parent
+    orphans = tagged.groupBy("parent", "key").agg(F.max("is_parent").alias("has_parent"), F.collect_list("c").alias("c")).filter(~F.col("has_parent"))
+    missing = orphans.select(F.explode("c").alias("c")).select("c.table_name", "c.field_name", F.lit("missing").alias("status"), "c.period", "c.n")
+    late = suspect_keys(parents, references).filter("has_parent").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    behind = kids.withColumn("_salt", F.pmod(F.xxhash64("record_key"), F.lit(SALTS))).join(late, ["parent", "key", "_salt"]).filter(F.col("arrival") > F.col("time"))
+    behind = behind.select("table_name", "field_name", F.lit("late").alias("status"), month.alias("period"), F.lit(1).cast("bigint").alias("n"))
+    return missing.unionByName(behind).groupBy("table_name", "field_name", "status", "period").agg(F.sum("n").alias("n_refs"))

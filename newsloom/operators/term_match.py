@@ -57,16 +57,28 @@ class Terms:
         return min(((-len(p.strip()), v) for p, v in hits), default=(0, None))[1]
 
 
+_kept: dict[int, Terms] = {}
+
+
+def terms_for(name: int, shared) -> Terms:
+    """The automaton of a broadcast list: one a worker process, not one a task."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = Terms(shared.value)
+    return _kept[name]
+
+
 def first_term(df: DataFrame, key: str, text: str, terms: DataFrame, value: str, term: str, out: str) -> DataFrame:
     """key and ``out``: the value of the longest term in each text, or null."""
     listed = [(r[0], r[1]) for r in terms.select(value, term).filter(F.col(value).isNotNull() & F.col(term).isNotNull()).distinct().limit(MAX_TERMS + 1).collect()]
     if len(listed) > MAX_TERMS:
         raise ValueError(f"more than {MAX_TERMS} terms")
-    shared = df.sparkSession.sparkContext.broadcast(listed)
+    listed.sort()
+    shared, name_of = df.sparkSession.sparkContext.broadcast(listed), hash(tuple(listed))
     rows = spread(df.select(key, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Terms(shared.value)
+        found = terms_for(name_of, shared)
         memo: dict[str | None, str | None] = {}
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([memo[t] if t in memo else memo.setdefault(t, found.find(t)) for t in b.column(1).to_pylist()], pa.string())], names=[key, out])
