@@ -3,9 +3,10 @@
 Method: typed names and reference spellings are brought to one form (look-alikes, letter case, accents, traditional
 characters, separators, legal forms).  A multi-pattern automaton over all canonical names and aliases finds the
 mentions embedded in a name; the longest non-overlapping ones win, and count if what is left beside them is
-nothing but wrapping ("shares of", legal forms, a ticker in brackets).  Remaining names go to a token-set
-similarity: the same words in any order, with up to two slips of the pen, cut short or abbreviated.  When two
-entries are equally near the name is ``unmatched``, as it is when none is near.
+nothing but wrapping ("shares of", legal forms, a ticker in brackets; leftover words of one or two letters count as such).
+Remaining names go to a token-set similarity: pairs of words, with slips of the pen, cut short or abbreviated, weighted by how few
+entries have the word; names without blanks that fit nothing are compared as sets of one joined word, Chinese names
+as a whole with one slip or cut short.  When two entries are equally near the name is ``unmatched``, as it is when none is near.
 
 The reference list is a small dimension table: it is read by the driver after a check of its size
 (``MAX_SPELLINGS``; a longer list is refused) and sent to the workers, so typed names are never shuffled.
@@ -122,14 +123,41 @@ def akin(a: str, b: str) -> bool:
     return stem or abbreviates(a, b) or abbreviates(b, a) or slips(a, b, 1) <= 1
 
 
+#: Similarity that a name must have at least.
+LEAST = 0.5
+
+
+def pair_weight(a: str, b: str) -> float:
+    """How surely two words are one: equal, a slip or two apart, abbreviated, of one stem; 0 if they are not."""
+    if a == b:
+        return 1.0
+    if min(len(a), len(b)) >= 4 and slips(a, b, 2 if min(len(a), len(b)) >= 10 else 1) <= (2 if min(len(a), len(b)) >= 10 else 1):
+        return 0.9
+    if abbreviates(a, b) or abbreviates(b, a):
+        return 0.8
+    return 0.7 if len(a) >= 4 and len(b) >= 4 and a[:3] == b[:3] else 0.0
+
+
+def token_set_similarity(typed: list[str], words: tuple[str, ...], worth: dict[str, float]) -> float:
+    """Worth of the best pairs by the worth of all words of either set; 0 unless every typed word has a pair and the
+    spelling's most telling word is written, but for slips, in full."""
+    left, total, most = list(words), 0.0, max(words, key=lambda x: worth[x])
+    for t in sorted(typed, key=lambda t: -max((pair_weight(t, x) for x in words), default=0.0)):
+        weight, x = max(((pair_weight(t, x), x) for x in left), default=(0.0, ""))
+        if weight == 0.0 or (x == most and weight < 0.9):
+            return 0.0
+        left.remove(x)
+        total += weight * worth[x]
+    return 0.0 if most in left else total / sum(worth[x] for x in words)
+
+
 class Matcher:
     def __init__(self, spellings: list[tuple[str, str]]):
         """spellings: (canonical id, spelling)."""
         owners: dict[str, set[str]] = defaultdict(set)
         self.exact = set()
-        self.words: dict[tuple[str, ...], set[str]] = defaultdict(set)  # sorted words -> entries
-        self.latin, self.lead, self.han = Near(2), Near(1), Near(1)
-        self.by_lead: dict[str, set[tuple[tuple[str, ...], str]]] = defaultdict(set)
+        self.latin, self.han = Near(2), Near(1)
+        self.by_word: dict[str, set[tuple[tuple[str, ...], str]]] = defaultdict(set)  # word, or a word less one letter -> spellings with it
         self.prefix: dict[str, set[str]] = defaultdict(set)
         for entry, raw in spellings:
             p = plain(raw)
@@ -142,12 +170,19 @@ class Matcher:
                     self.prefix[z[:n]].add(entry)
             elif w:
                 owners[" ".join(w)].add(entry)
-                self.words[tuple(sorted(w))].add(entry)
+                for word in w:
+                    for s in shorter(word, 1) if len(word) >= 4 else {word}:
+                        self.by_word[s].add((tuple(w), entry))
                 if len(w) > 1:
                     self.latin.add("".join(w), entry)
                     self.latin.add("".join(sorted(w)), entry)
-                    self.lead.add(w[0], entry)
-                    self.by_lead[entry].add((tuple(w), entry))
+        # a word of many entries says little about which one is meant
+        having: dict[str, set[str]] = defaultdict(set)
+        for spelled in self.by_word.values():
+            for words, entry in spelled:
+                for word in words:
+                    having[word].add(entry)
+        self.worth = {word: 1 / len(entries) for word, entries in having.items()}
         self.automaton = ahocorasick.Automaton()
         for spelling, entries in owners.items():
             if len(entries) == 1:
@@ -206,28 +241,28 @@ class Matcher:
         z, w = han_part(text), [t for t in latin_tokens(re.sub(f"[{_HAN}]", " ", text)) if t not in WRAPPING]
         if z:
             return self.similar_han(_HAN_TAIL.sub("", z) or z)
-        if not w:
-            return None
-        if len(owners := self.words.get(tuple(sorted(w)), ())) == 1:
-            return next(iter(owners))
-        joined = "".join(w)
-        most = 2 if len(joined) >= 10 else 1
-        near = self.latin.find(joined, most) if len(joined) >= 7 else []
-        if len(w) > 1:
-            other = self.latin.find("".join(sorted(w)), most)
-            near = min((x for x in (near, other) if x), key=lambda x: x[0][0], default=[])
-        if near:
-            return near[0][1] if len({e for _, e in near}) == 1 else None
-        # the leading word alone, or with the others abbreviated or in another form; it may stand last
-        for first, others in ((w[0], w[1:]), (w[-1], w[:-1])):
-            fits = set()
-            for _, entry in self.lead.find(first, 1 if len(first) >= 5 else 0):
-                for words, e in self.by_lead[entry]:
-                    if slips(first, words[0], 1) <= 1 and len(w) <= len(words) and all(akin(a, b) for a, b in zip(others, words[1:])):
-                        fits.add(e)
-            if len(fits) == 1:
-                return next(iter(fits))
-        return None
+        return self.by_tokens(w) if w else None
+
+    def by_tokens(self, w: list[str]) -> str | None:
+        """The entry whose set of words is most similar (``token_set_similarity``); ``LEAST`` of similarity is needed, and of two equally similar entries neither is meant.  Names
+        whose words are run together or cut apart otherwise are compared as sets of the one joined word."""
+        found: set[tuple[tuple[str, ...], str]] = set()
+        for t in w:
+            for s in shorter(t, 1) if len(t) >= 4 else {t}:
+                found |= self.by_word.get(s, set())
+        best: dict[str, float] = {}
+        for words, entry in found:
+            s = token_set_similarity(w, words, self.worth)
+            if s >= LEAST:
+                best[entry] = max(best.get(entry, 0.0), s)
+        if not best and len(joined := "".join(w)) >= 7:
+            most = 2 if len(joined) >= 10 else 1
+            for form in {joined, "".join(sorted(w))}:
+                for d, entry in self.latin.find(form, most):
+                    best[entry] = max(best.get(entry, 0.0), 1 - d / len(joined))
+        top = max(best.values(), default=0.0)
+        leaders = [e for e, s in best.items() if s > top - 1e-9]
+        return leaders[0] if len(leaders) == 1 else None
 
     def similar_han(self, z: str) -> str | None:
         if len(z) < 3:
