@@ -141,6 +141,7 @@ def pair_weight(a: str, b: str) -> float:
 def token_set_similarity(typed: list[str], words: tuple[str, ...], worth: dict[str, float]) -> float:
     """Worth of the best pairs by the worth of all words of either set; 0 unless every typed word has a pair and the
     spelling's most telling word is written, but for slips, in full."""
+    worth = {x: worth[x] * (1.0 if x == words[0] else 0.3) for x in words}  # a name leads with what tells it from others
     left, total, most = list(words), 0.0, max(words, key=lambda x: worth[x])
     for t in sorted(typed, key=lambda t: -max((pair_weight(t, x) for x in words), default=0.0)):
         weight, x = max(((pair_weight(t, x), x) for x in left), default=(0.0, ""))
