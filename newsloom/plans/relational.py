@@ -100,12 +100,19 @@ def c14_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 def c15_asof(spark: SparkSession, d: str) -> DataFrame:
-    """Extension: for each link the latest entity link of its event made at or before it; one pass over the union."""
+    """Extension: for each link the latest entity link of its event made at or before it; one pass over the union.
+
+    An event is cut into days, so that a hot one is no single task: within a day the last one before is found by order, and what a day begins
+    with comes from a table of one row an event and day."""
     probe = _links(spark, d).select("event_id", F.col("created_at").alias("t"), "article_id", F.lit(None).cast("bigint").alias("id"), F.lit(1).alias("side"))
     build = _t(spark, d, "event_entity_links", "event_id", "created_at", "id").groupBy("event_id", F.col("created_at").alias("t")).agg(F.max("id").alias("id"))
-    both = probe.unionByName(build.select("event_id", "t", F.lit(None).cast("string").alias("article_id"), "id", F.lit(0).alias("side")))
-    w = Window.partitionBy("event_id").orderBy("t", "side").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("entity_link_id", F.last("id", ignorenulls=True).over(w)).filter("side = 1").select("article_id", "event_id", "entity_link_id")
+    both = probe.unionByName(build.select("event_id", "t", F.lit(None).cast("string").alias("article_id"), "id", F.lit(0).alias("side"))).withColumn("day", F.to_date("t"))
+    within = Window.partitionBy("event_id", "day").orderBy("t", "side").rowsBetween(Window.unboundedPreceding, 0)
+    days = both.groupBy("event_id", "day").agg(F.max_by("id", F.when(F.col("id").isNotNull(), F.col("t"))).alias("last"))
+    earlier = Window.partitionBy("event_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("event_id", "day", F.last("last", ignorenulls=True).over(earlier).alias("before")).filter("before is not null")
+    found = both.withColumn("same", F.last("id", ignorenulls=True).over(within)).filter("side = 1")
+    return found.join(days, ["event_id", "day"], "left").select("article_id", "event_id", F.coalesce("same", "before").alias("entity_link_id"))
 
 
 # aggregations
@@ -154,11 +161,14 @@ def e7_titles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def e8_updates(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct updates of an event by title skeleton, newest first, at most five."""
-    j = _links(spark, d).join(_articles(spark, d, "title", "collected_at"), "article_id").withColumn("signature", X.skeleton(F.col("title"), 80)).filter("signature <> ''")
+    """Distinct updates of an event by their signature, newest first, at most five, and how many there are."""
+    from newsloom.operators.classify import update_signature
+
+    j = _links(spark, d).join(_articles(spark, d, "title", "collected_at"), "article_id").withColumn("signature", update_signature(F.col("title"))).filter("signature <> ''")
     newest = [F.col("collected_at").desc(), F.col("article_id")]
     once = first_of(j, ["event_id", "signature"], newest).drop("_rn")
-    return first_of(once, ["event_id"], newest, 5).select("event_id", F.col("_rn").alias("update_no"), "signature", "article_id")
+    count = once.groupBy("event_id").agg(F.count("*").alias("n_updates"))
+    return first_of(once, ["event_id"], newest, 5).join(count, "event_id").select("event_id", F.col("_rn").alias("update_no"), "signature", "article_id", "n_updates")
 
 
 def e9_article_sets(spark: SparkSession, d: str) -> DataFrame:
@@ -237,12 +247,14 @@ def f1_evidence_order(spark: SparkSession, d: str) -> DataFrame:
     """Articles of an event: min-max freshness in the event, first article of each family before the repeats."""
     reg = table(spark, d, "source_registry").select("source_id", "trust_tier", family(F.col("source_id"), F.col("source_family")).alias("family"))
     j = _links(spark, d).join(_articles(spark, d, "source_id", "title", "collected_at"), "article_id").join(reg, "source_id").withColumn("s", F.unix_seconds("collected_at"))
-    ev = Window.partitionBy("event_id")
-    lo, hi = F.min("s").over(ev), F.max("s").over(ev)
-    j = j.withColumn("fresh", F.when(hi > lo, F.floor((F.col("s") - lo) * 1000 / (hi - lo))).otherwise(1000)).withColumn("specific", (F.col("title").rlike("[0-9]").cast("int") + (F.length("title") >= 18).cast("int")))
+    span = j.groupBy("event_id").agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
+    j = j.join(span, "event_id").withColumn("fresh", F.when(F.col("hi") > F.col("lo"), F.floor((F.col("s") - F.col("lo")) * 1000 / (F.col("hi") - F.col("lo")))).otherwise(1000))
+    j = j.withColumn("specific", (F.col("title").rlike("[0-9]").cast("int") + (F.length("title") >= 18).cast("int")))
     key = [F.col("trust_tier"), F.col("specific").desc(), F.col("fresh").desc(), F.col("article_id")]
-    j = j.withColumn("repeat", (F.row_number().over(Window.partitionBy("event_id", "family").orderBy(*key)) > 1).cast("int"))
-    return j.withColumn("place", F.row_number().over(ev.orderBy("repeat", *key))).filter("place <= 5").select("event_id", "place", "article_id", "fresh")
+    # of one family at most the first five repeats can be among the five; the rest is let go before the shuffle
+    some = first_of(j, ["event_id", "family"], key, 6).withColumn("repeat", (F.col("_rn") > 1).cast("int"))
+    placed = first_of(some.drop("_rn"), ["event_id"], [F.col("repeat"), *key], 5)
+    return placed.select("event_id", F.col("_rn").alias("place"), "article_id", "fresh")
 
 
 def f4_event_rank(spark: SparkSession, d: str) -> DataFrame:
@@ -347,6 +359,7 @@ _V = "(SELECT DISTINCT ON (event_id) * FROM news_events) e"
 _SK = r"substr(trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(title, '[\s\pZ]+', ' ', 'g'))), '[0-9]{1,4}(?:[./:-][0-9]{1,2})+', ' ', 'g'), '[^\pL\pN_]+', ' ', 'g')), 1, 80)"
 _FAM = "coalesce(nullif(trim(source_family), ''), 'source:'||source_id)"
 _LK = r"regexp_replace(lower({c}), '[^\pL\pN]+', '', 'g')"
+_SK_ALL = r"trim(regexp_replace(regexp_replace(lower(trim(regexp_replace(title, '[\s\pZ]+', ' ', 'g'))), '[0-9]{1,4}(?:[./:-][0-9]{1,2})+', ' ', 'g'), '[^\pL\pN_]+', ' ', 'g'))"
 ORACLE = {
     "c1_articles_by_source": f"SELECT lane, trust_tier, count(*) n_articles FROM {_A} JOIN source_registry USING (source_id) GROUP BY ALL",
     "c2_event_entities": f"SELECT event_type, entity_type, count(*) n_links, count(*) FILTER (relevance_score > 0.5) n_strong FROM {_V} JOIN {_E} USING (event_id) GROUP BY ALL",
@@ -371,7 +384,10 @@ ORACLE = {
       FROM {_L} JOIN {_A} USING (article_id) JOIN (SELECT *, {_FAM} f FROM source_registry) USING (source_id) GROUP BY 1""",
     "e6_representative": f"SELECT event_id, article_id representative, title event_title FROM (SELECT l.event_id, article_id, title, row_number() OVER (PARTITION BY event_id ORDER BY (lane <> 'confirmation')::INT, trust_tier, length(title), article_id) k FROM {_L} JOIN {_A} USING (article_id) JOIN source_registry USING (source_id)) WHERE k = 1",
     "e7_titles": f"SELECT event_id, sha256(string_agg(title, ' ' ORDER BY collected_at DESC, article_id DESC)) titles_digest, count(*)::INT n FROM {_L} JOIN {_A} USING (article_id) GROUP BY 1",
-    "e8_updates": f"""SELECT event_id, k2::INT update_no, signature, article_id FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY collected_at DESC, article_id) k2 FROM (SELECT event_id, article_id, collected_at, {_SK} signature, row_number() OVER (PARTITION BY event_id, {_SK} ORDER BY collected_at DESC, article_id) k FROM {_L} JOIN {_A} USING (article_id)) WHERE k = 1 AND signature <> '') WHERE k2 <= 5""",
+    "e8_updates": f"""WITH w AS (SELECT DISTINCT article_id, collected_at, {_SK_ALL} sk, list_filter(string_split(substr({_SK_ALL},1,400), ' '), lambda w: regexp_matches(w, '[0-9]') OR (length(w) > 1 AND NOT regexp_full_match(w, '[a-z]{{1,3}}'))) t FROM news_articles),
+      g AS (SELECT article_id, collected_at, CASE WHEN len(list_distinct(t)) >= 3 THEN array_to_string(list_sort(list_transform(list_sort(list_transform(list_distinct(t), lambda x: {{'p': list_position(t, x), 'x': x}}))[1:12], lambda s: s.x)), ' ') ELSE substr(sk,1,80) END signature FROM w),
+      o AS (SELECT event_id, article_id, collected_at, signature FROM {_L} JOIN g USING (article_id) WHERE signature <> '' QUALIFY row_number() OVER (PARTITION BY event_id, signature ORDER BY collected_at DESC, article_id) = 1)
+      SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY collected_at DESC, article_id)::INT update_no, signature, article_id, count(*) OVER (PARTITION BY event_id) n_updates FROM o QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY collected_at DESC, article_id) <= 5""",
     "e9_article_sets": f"SELECT event_id, string_agg(DISTINCT article_id, ',' ORDER BY article_id) article_ids FROM {_L} GROUP BY 1",
     "e10_source_health": f"SELECT source_id, count(*) FILTER (collected_at >= TIMESTAMPTZ '2026-02-28 00:00:00+00' AND collected_at < TIMESTAMPTZ '2026-03-01 00:00:00+00') articles_24h, epoch(max(collected_at) FILTER (collected_at < TIMESTAMPTZ '2026-03-01 00:00:00+00'))::BIGINT last_article FROM {_A} GROUP BY 1",
     "e11_rolling_quota": "SELECT user_id, max(r) max_runs, count(*) FILTER (r > 3) over_quota FROM (SELECT user_id, count(*) OVER (PARTITION BY user_id ORDER BY floor(epoch_us(ts)/1000000)::BIGINT RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) r FROM events) GROUP BY 1",
