@@ -152,7 +152,7 @@ def rebuild(df: DataFrame, key: str, source: str, text: str, lines: DataFrame) -
     return cut.filter("_more is null").select(key, text).unionByName(cut.filter("_more").select(key, text).distinct())
 
 
-def index_of(df: DataFrame, key: str, source: str, at: str, text: str, rule: Rule = Rule(), period: str = "quarter") -> LineIndex:
+def index_of(df: DataFrame, key: str, source: str, at: str, text: str, rule: Rule = Rule(), period: str = "year") -> LineIndex:
     """An index over a whole table, fed in batches, one a calendar ``period``; documents are taken apart once for all."""
     spark, path = df.sparkSession, stash_path(df.sparkSession, "site-lines")
     batch = F.coalesce(F.date_format(F.date_trunc(period, at), "yyyyMMdd"), F.lit("0")).alias("batch")
